@@ -114,14 +114,15 @@ def bucket_count(df: DataFrame, column: str = "n_bytes", bytes_per_bucket: int =
     return int(max(4 * partitions_of(df.sparkSession), total // bytes_per_bucket))
 
 
-def exchange(rows: DataFrame, emit: Callable, fold: Callable, n_buckets: int, columns: list[str], name: str, summary: str = "binary") -> tuple[DataFrame, DataFrame]:
+def exchange(rows: DataFrame, emit: Callable, fold: Callable, n_buckets: int, columns: list[str], name: str, lazy: bool = False) -> tuple[DataFrame, DataFrame]:
     """Ask about keys over all rows.
 
     emit(*columns of a row) -> (keys, values): keys sorted, distinct uint64; values a numpy
-    (structured) array beside them.  fold(keys, values, group) gets one bucket's keys and
-    values sorted by key, group the index of the distinct key of each entry, and returns
-    (answer per distinct key, bytes or None).  Returns answers (block, answer: list of packed
-    parts in key order) and the folds' bytes (one row a bucket), both of one materialised table.
+    (structured) array beside them.  fold(keys, values, group) gets one bucket's distinct keys,
+    the values sorted by key and the index of the key of each, and returns (an answer per
+    distinct key or per value, bytes or None).  Returns answers (block, answer: list of packed
+    parts in key order) and the folds' bytes (one row a bucket), both of one table, which is
+    materialised unless lazy.
     """
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,7 +151,7 @@ def exchange(rows: DataFrame, emit: Callable, fold: Callable, n_buckets: int, co
         group = np.cumsum(new) - 1
         out, said = fold(keys[new], values[order], group)
         back = np.empty(len(keys), out.dtype)
-        back[order] = out[group]
+        back[order] = out[group] if len(out) <= group[-1] + 1 else out
         ends = np.cumsum([len(p) for p in parts])
         got = pd.DataFrame({"block": pdf["block"], "bucket": pdf["bucket"], "answer": [pack(x) for x in np.split(back, ends[:-1])], "said": None})
         if said is not None:
@@ -158,7 +159,8 @@ def exchange(rows: DataFrame, emit: Callable, fold: Callable, n_buckets: int, co
         return got
 
     sent = rows.mapInArrow(send, "bucket int, block long, keys binary, vals binary")
-    table = materialize(sent.groupBy("bucket").applyInPandas(answer, "block long, bucket int, answer binary, said binary"), name)
+    table = sent.groupBy("bucket").applyInPandas(answer, "block long, bucket int, answer binary, said binary")
+    table = table if lazy else materialize(table, name)
     parts = table.filter("block >= 0").groupBy("block").agg(F.sort_array(F.collect_list(F.struct("bucket", "answer"))).alias("parts"))
     return parts.select("block", F.col("parts.answer").alias("answer")), table.filter("block < 0").select("said")
 

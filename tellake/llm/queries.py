@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .jaccard_join import jaccard_components
+from .substring_dedup import substring_digest
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,8 +16,12 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), "doc_id", "text", n=4, num=85, den=100)
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_digest(table(spark, sf_dir, "documents"), "doc_id", "text", length=20, start=10)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op5_ngram_jaccard_join,)}
+    return {f.__name__: f for f in (op5_ngram_jaccard_join, op10_substring_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
