@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .jaccard_join import jaccard_components
+from .language_id import language_of
 from .substring_dedup import substring_digest
 
 
@@ -12,6 +13,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_of(table(spark, sf_dir, "documents"), "doc_id", "text", "lang")
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), "doc_id", "text", n=4, num=85, den=100)
 
@@ -21,7 +26,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op5_ngram_jaccard_join, op10_substring_dedup)}
+    return {f.__name__: f for f in (op4_language_id, op5_ngram_jaccard_join, op10_substring_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
