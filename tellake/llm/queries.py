@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontaminate import contamination_digest
 from .jaccard_join import jaccard_components
 from .language_id import language_of
 from .substring_dedup import substring_digest
@@ -21,12 +22,16 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), "doc_id", "text", n=4, num=85, den=100)
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10)
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_digest(table(spark, sf_dir, "documents"), "doc_id", "text", length=20, start=10)
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op4_language_id, op5_ngram_jaccard_join, op10_substring_dedup)}
+    return {f.__name__: f for f in (op4_language_id, op5_ngram_jaccard_join, op6_decontamination, op10_substring_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
