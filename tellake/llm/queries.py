@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+
 from .decontaminate import contamination_digest
 from .jaccard_join import jaccard_components
 from .language_id import language_of
+from .mixing import mix_plan
+from .packing import pack_documents
 from .substring_dedup import substring_digest
 
 
@@ -14,6 +18,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_plan(table(spark, sf_dir, "documents"), "doc_id", "text", "source", weights=(1.0, 2.0, 3.0))
+
+
+def op3_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), corpus_pipeline.VOCABULARY, "doc_id", "text", capacity=2048, end_id=50256)
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_of(table(spark, sf_dir, "documents"), "doc_id", "text", "lang")
 
@@ -31,7 +43,8 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op4_language_id, op5_ngram_jaccard_join, op6_decontamination, op10_substring_dedup)}
+    named = {f.__name__: f for f in (op1_mixing, op3_token_packing, op4_language_id, op5_ngram_jaccard_join, op6_decontamination, op10_substring_dedup)}
+    return {"pipeline": corpus_pipeline.run, **named}
 
 
 def oracle_sql() -> dict[str, str]:
