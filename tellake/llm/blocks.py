@@ -1,6 +1,6 @@
 """Document blocks and the keyed exchange that several operators share.
 
-A block is one row that holds some two MB of whole texts, compressed.  Blocks are written
+A block is one row that holds about one MB of whole texts, compressed.  Blocks are written
 once, so their ids and the order of texts inside never change, whatever is recomputed.
 
 The keyed exchange answers, for every distinct 64-bit key of every block, a question about
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from .store import materialize, partitions_of
 from .words import slices, text_buffers
 
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 NO_ID = np.iinfo(np.int64).max
 
 
@@ -109,9 +109,9 @@ def make_blocks(df: DataFrame, id_col: str, text_col: str, block_bytes: int = BL
 
 
 def bucket_count(df: DataFrame, column: str = "n_bytes", bytes_per_bucket: int = 12 << 20) -> int:
-    """Buckets for keys made from `column` bytes of text: at least four a shuffle partition, more as the data grow."""
+    """Buckets for keys made from `column` bytes of text: at least three a shuffle partition, more as the data grow."""
     total = df.agg(F.sum(column)).first()[0] or 0
-    return int(max(4 * partitions_of(df.sparkSession), total // bytes_per_bucket))
+    return int(max(3 * partitions_of(df.sparkSession), total // bytes_per_bucket))
 
 
 def exchange(rows: DataFrame, emit: Callable, fold: Callable, n_buckets: int, columns: list[str], name: str, lazy: bool = False) -> tuple[DataFrame, DataFrame]:

@@ -3,9 +3,10 @@
 The matrix is never held whole.  A document can only link if nearly all of its n-grams
 occur elsewhere (overlap >= t * size), which bounds what has to be multiplied:
 
-1. On a hash-chosen quarter of all n-grams, count in how many different sets each occurs.
-   A document whose missing quarter alone exceeds (1 - t) * size is done: it links nothing.
-   The choice is by n-gram, alike in every document, so the bound is exact.
+1. On a hash-chosen quarter of all n-grams, ask which occur in another set of the same block
+   or in another block.  A document whose missing quarter alone exceeds (1 - t) * size is
+   done: it links nothing new.  The choice is by n-gram, alike in every document, so the
+   bound is exact.
 2. The rest are kept once per distinct set (exact copies are one class) and pruned on all
    n-grams until nothing more goes.
 3. Rows are multiplied with hub columns: for each n-gram its best-covered set is the hub.
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .blocks import Block, Emit, answers, bucket_count, exchange, make_blocks, pack, unpack
 from .components import connected_components
-from .store import materialize
+from .store import broadcast_if_small, materialize
 from .words import LOWER, SPACED, U, mix, split_words, windows
 
 SAMPLE_BITS = 2
@@ -99,10 +100,13 @@ def document_sets(df: DataFrame, id_col: str, text_col: str, n: int, num: int, d
     def emit(body: bytes):
         sets = shingle_sets(Block(body), n)
         keys = np.array([set_key(h) for h in sets], U)
-        grams, owner = _sampled(sets, keys)
-        return _bounds(grams, keys[owner])
+        grams, both = _bounds(*_sampled(sets, keys))
+        return grams, 1 + (both["lo"] < both["hi"]).astype(np.uint8)
 
-    found, _ = exchange(blocks, Emit(emit, _RANGE), _several, bucket_count(blocks), ["body"], "grams")
+    def fold(keys: np.ndarray, values: np.ndarray, group: np.ndarray):
+        return (np.bincount(group, values) > 1).astype(np.uint8), None
+
+    found, _ = exchange(blocks, Emit(emit, "u1"), fold, bucket_count(blocks), ["body"], "grams")
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -112,8 +116,7 @@ def document_sets(df: DataFrame, id_col: str, text_col: str, n: int, num: int, d
                 size = np.array([len(h) for h in sets], np.int64)
                 keys = np.array([set_key(h) for h in sets], U)
                 grams, owner = _sampled(sets, keys)
-                alive = np.zeros(len(sets), bool)
-                kept, _ = _bounds(grams, keys[owner])
+                kept, _ = _bounds(grams, owner)
                 again = answers(row["answer"], np.uint8).astype(bool)
                 missing = np.zeros(len(sets), np.int64)
                 if len(grams):
@@ -366,4 +369,5 @@ def one_per_component(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     groups = jaccard_components(df, id_col, text_col, n, num, den)
     gone = groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("gone_id")).distinct()
     kept = groups.filter("doc_id = component_id").select(F.col("doc_id").alias("gone_id")).distinct()
-    return df.join(gone.join(kept, "gone_id", "left_anti"), df[id_col] == F.col("gone_id"), "left_anti")
+    gone = broadcast_if_small(materialize(gone.join(kept, "gone_id", "left_anti"), "gone"))
+    return df.join(gone, df[id_col] == F.col("gone_id"), "left_anti")

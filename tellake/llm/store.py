@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _own: dict[str, str] = {}
 
@@ -35,3 +36,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 def partitions_of(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def broadcast_if_small(df: DataFrame, most_rows: int = 2_000_000) -> DataFrame:
+    """df (materialised, of a few small columns) with a broadcast hint if it has at most most_rows; else unchanged, to be shuffled."""
+    return F.broadcast(df) if df.count() <= most_rows else df

@@ -17,7 +17,7 @@ _MIX_A, _MIX_B = U(0xFF51AFD7ED558CCD), U(0xC4CEB9FE1A85EC53)
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INV = pow(_BASE, -1, 1 << 64)
 _BYTE = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) | U(1)
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def word_bytes(separators: bytes) -> np.ndarray:
