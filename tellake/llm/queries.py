@@ -9,6 +9,7 @@ import corpus_pipeline
 from .decontaminate import contamination_digest
 from .jaccard_join import jaccard_components
 from .language_id import language_of
+from .language_model import language_model_scores
 from .mixing import mix_plan
 from .packing import pack_documents
 from .substring_dedup import substring_digest
@@ -38,12 +39,16 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10)
 
 
+def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model_scores(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_digest(table(spark, sf_dir, "documents"), "doc_id", "text", length=20, start=10)
 
 
 def queries() -> dict:
-    named = {f.__name__: f for f in (op1_mixing, op3_token_packing, op4_language_id, op5_ngram_jaccard_join, op6_decontamination, op10_substring_dedup)}
+    named = {f.__name__: f for f in (op1_mixing, op3_token_packing, op4_language_id, op5_ngram_jaccard_join, op6_decontamination, op7_language_model, op10_substring_dedup)}
     return {"pipeline": corpus_pipeline.run, **named}
 
 
