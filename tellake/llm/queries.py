@@ -12,6 +12,7 @@ from .language_id import language_of
 from .language_model import language_model_scores
 from .mixing import mix_plan
 from .packing import pack_documents
+from .quality import quality_verdicts
 from .substring_dedup import substring_digest
 
 
@@ -23,6 +24,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_plan(table(spark, sf_dir, "documents"), "doc_id", "text", "source", weights=(1.0, 2.0, 3.0))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_verdicts(table(spark, sf_dir, "documents"), "doc_id", "text", "lang")
+
+
 def op3_token_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), corpus_pipeline.VOCABULARY, "doc_id", "text", capacity=2048, end_id=50256)
 
@@ -48,7 +53,7 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    named = {f.__name__: f for f in (op1_mixing, op3_token_packing, op4_language_id, op5_ngram_jaccard_join, op6_decontamination, op7_language_model, op10_substring_dedup)}
+    named = {f.__name__: f for f in (op1_mixing, op2_quality_rules, op3_token_packing, op4_language_id, op5_ngram_jaccard_join, op6_decontamination, op7_language_model, op10_substring_dedup)}
     return {"pipeline": corpus_pipeline.run, **named}
 
 
