@@ -109,9 +109,9 @@ def make_blocks(df: DataFrame, id_col: str, text_col: str, block_bytes: int = BL
 
 
 def bucket_count(df: DataFrame, column: str = "n_bytes", bytes_per_bucket: int = 12 << 20) -> int:
-    """Buckets for keys made from `column` bytes of text: at least three a shuffle partition, more as the data grow."""
+    """Buckets for keys made from `column` bytes: three a shuffle partition, more as the data grow, fewer for little data."""
     total = df.agg(F.sum(column)).first()[0] or 0
-    return int(max(3 * partitions_of(df.sparkSession), total // bytes_per_bucket))
+    return int(max(min(3 * partitions_of(df.sparkSession), total // (bytes_per_bucket >> 6) + 1), total // bytes_per_bucket))
 
 
 def exchange(rows: DataFrame, emit: Callable, fold: Callable, n_buckets: int, columns: list[str], name: str, lazy: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -162,7 +162,9 @@ def exchange(rows: DataFrame, emit: Callable, fold: Callable, n_buckets: int, co
     table = sent.groupBy("bucket").applyInPandas(answer, "block long, bucket int, answer binary, said binary")
     table = table if lazy else materialize(table, name)
     parts = table.filter("block >= 0").groupBy("block").agg(F.sort_array(F.collect_list(F.struct("bucket", "answer"))).alias("parts"))
-    return parts.select("block", F.col("parts.answer").alias("answer")), table.filter("block < 0").select("said")
+    found = parts.select("block", F.col("parts.answer").alias("answer"))
+    found._stored_at = getattr(table, "_stored_at", None)
+    return found, table.filter("block < 0").select("said")
 
 
 def bucket_of(keys: np.ndarray, n_buckets: int) -> np.ndarray:

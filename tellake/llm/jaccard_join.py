@@ -29,11 +29,11 @@ from pyspark.sql import functions as F
 
 from .blocks import Block, Emit, answers, bucket_count, exchange, make_blocks, pack, unpack
 from .components import connected_components
-from .store import broadcast_if_small, materialize
+from .store import broadcast_if_small, drop, materialize
 from .words import LOWER, SPACED, U, mix, split_words, windows
 
 SAMPLE_BITS = 2
-CHUNK_HASHES = 1 << 18
+CHUNK_HASHES = 1 << 16
 
 
 def shingle_sets(block: Block, n: int) -> list[np.ndarray]:
@@ -128,7 +128,9 @@ def document_sets(df: DataFrame, id_col: str, text_col: str, n: int, num: int, d
                     [pa.array(block.id_list(), pa.int64()), pa.array(size), pa.array(keys.view(np.int64)), pa.array([h.tobytes() if a else None for h, a in zip(sets, alive)], pa.binary())],
                     names=["doc_id", "n_shingles", "cls", "hashes"])
 
-    return materialize(blocks.join(found, "block", "left").select("body", "answer").mapInArrow(judge, "doc_id long, n_shingles long, cls long, hashes binary"), "sets")
+    out = materialize(blocks.join(found, "block", "left").select("body", "answer").mapInArrow(judge, "doc_id long, n_shingles long, cls long, hashes binary"), "sets")
+    drop(blocks, found)
+    return out
 
 
 class Chunk:
@@ -148,8 +150,8 @@ def _chunk_row(block: int, cls, comp, size, share, hashes: list[np.ndarray]) ->
 _CHUNK = "block long, n_sets long, n_bytes long, body binary"
 
 
-def pack_sets(sets: DataFrame) -> DataFrame:
-    """Rows (cls, comp, n, hashes) as chunks."""
+def pack_sets(sets: DataFrame, total: int) -> DataFrame:
+    """Rows (cls, comp, n, hashes), of about total hashes, as chunks."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq, held, size = TaskContext.get().partitionId(), 0, [], 0
@@ -166,11 +168,11 @@ def pack_sets(sets: DataFrame) -> DataFrame:
     def make(part, seq, held):
         return _chunk_row((part << 32) | seq, np.array([h[0] for h in held], np.int64).view(U), np.array([h[1] for h in held], np.int64).view(U), [h[2] for h in held], np.zeros(len(held)), [h[3] for h in held])
 
-    return materialize(sets.select("cls", "comp", "n", "hashes").mapInArrow(build, _CHUNK), "chunks")
+    return materialize(sets.select("cls", "comp", "n", "hashes").coalesce(total // CHUNK_HASHES + 1).mapInArrow(build, _CHUNK), "chunks")
 
 
-def _count(chunks: DataFrame) -> int:
-    return chunks.agg(F.sum("n_sets")).first()[0] or 0
+def _count(chunks: DataFrame, column: str = "n_sets") -> int:
+    return chunks.agg(F.sum(column)).first()[0] or 0
 
 
 def prune(chunks: DataFrame, num: int, den: int) -> DataFrame:
@@ -194,7 +196,9 @@ def prune(chunks: DataFrame, num: int, den: int) -> DataFrame:
                 if len(stay):
                     yield _chunk_row(row["block"], c.cls[stay], c.comp[stay], c.size[stay], (shared[stay] * 65535) // c.size[stay], [c.grams[c.offsets[i] : c.offsets[i + 1]] for i in stay.tolist()])
 
-    return materialize(chunks.join(found, "block").select("block", "body", "answer").mapInArrow(judge, _CHUNK), "pruned")
+    out = materialize(chunks.join(found, "block").select("block", "body", "answer").mapInArrow(judge, _CHUNK), "pruned")
+    drop(chunks, found)
+    return out
 
 
 _HUB = np.dtype([("share", "<u2"), ("cls", "<u8"), ("comp", "<u8"), ("size", "<u4")])
@@ -278,13 +282,15 @@ def remaining_links(chunks: DataFrame, num: int, den: int) -> DataFrame:
                 often = answers(row["answer"], np.uint32)[np.searchsorted(emit(row["body"])[0], c.grams)]
                 order = np.lexsort((c.grams, often, c.owner))
                 place = np.arange(len(order)) - c.offsets[c.owner]
-                lead = order[(place <= (c.size - least_overlap(c.size, num, den))[c.owner]) & (often[order] > 1)]
+                some = (place <= (c.size - least_overlap(c.size, num, den))[c.owner]) & (often[order] > 1)
+                lead, place = order[some], place[some]
                 owner = c.owner[lead]
-                yield pa.record_batch([pa.array(x.view(np.int64)) for x in (c.grams[lead], c.cls[owner], c.comp[owner])] + [pa.array(c.size[owner])], names=["gram", "cls", "comp", "n"])
+                yield pa.record_batch([pa.array(x.view(np.int64)) for x in (c.grams[lead], c.cls[owner], c.comp[owner])] + [pa.array(c.size[owner] - place), pa.array(c.size[owner])], names=["gram", "cls", "comp", "left", "n"])
 
-    left = materialize(chunks.join(found, "block").select("body", "answer").mapInArrow(rarest, "gram long, cls long, comp long, n long"), "rarest")
-    right = left.select("gram", F.col("cls").alias("cls2"), F.col("comp").alias("comp2"), F.col("n").alias("n2"))
-    near = (F.col("n") * den >= F.col("n2") * num) & (F.col("n2") * den >= F.col("n") * num)
+    left = materialize(chunks.join(found, "block").select("body", "answer").mapInArrow(rarest, "gram long, cls long, comp long, left long, n long"), "rarest")
+    right = left.select("gram", F.col("cls").alias("cls2"), F.col("comp").alias("comp2"), F.col("left").alias("left2"), F.col("n").alias("n2"))
+    # at the first n-gram two linked sets share, what is left of either holds their whole overlap
+    near = F.least("left", "left2") * (num + den) >= (F.col("n") + F.col("n2")) * num
     pairs = left.join(right, (left.gram == right.gram) & (F.col("cls") < F.col("cls2")) & (F.col("comp") != F.col("comp2")) & near).select("cls", "cls2").distinct()
     sets = materialize(chunks.select("body").mapInArrow(_rows_of, _ROWS), "rows")
     other = sets.select(F.col("cls").alias("cls2"), F.col("comp").alias("comp2"), F.col("hashes").alias("hashes2"))
@@ -317,7 +323,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     docs = document_sets(df, id_col, text_col, n, num, den)
     reps = docs.filter("hashes is not null").dropDuplicates(["cls"]).select("cls", F.col("n_shingles").alias("n"), "hashes")
-    chunks = pack_sets(reps.withColumn("comp", F.col("cls")))
+    chunks = pack_sets(reps.withColumn("comp", F.col("cls")), _count(docs.filter("hashes is not null"), "n_shingles"))
     roots: DataFrame | None = None
     alive = _count(chunks)
     while alive:
@@ -329,7 +335,7 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
         if not alive:
             break
         links = hub_links(chunks, num, den)
-        last = links.count() * 20 < alive
+        last = links.count() * 50 < alive
         if last:
             links = links.unionByName(remaining_links(chunks, num, den))
             if links.isEmpty():
@@ -358,7 +364,7 @@ def _renamed(chunks: DataFrame, roots: DataFrame) -> DataFrame:
     """Chunks with each set's component replaced by its root."""
 
     sets = chunks.select("body").mapInArrow(_rows_of, _ROWS)
-    return pack_sets(sets.join(roots, sets.comp == roots.node, "left").select("cls", F.coalesce("root", "comp").alias("comp"), "n", "hashes"))
+    return pack_sets(sets.join(roots, sets.comp == roots.node, "left").select("cls", F.coalesce("root", "comp").alias("comp"), "n", "hashes"), _count(chunks, "n_bytes") // 8)
 
 
 def one_per_component(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
