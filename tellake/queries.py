@@ -483,12 +483,12 @@ def sanitize_path(spark, d):
     return t(spark, d, "pages").select("page_id", paths.sanitize(F.col("url")).alias("clean"))
 
 
-@query(f"SELECT page_id, CASE WHEN c[1] = {SAN.format('r')} THEN c[2:] ELSE c END::VARCHAR AS path FROM (SELECT page_id, r, list_transform(p, lambda x: {SAN.format('x')}) AS c FROM (SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'http:' ELSE 'other' END AS r, string_split(replace(url, 'https:', 'http:'), '/') AS p FROM pages))")
+@query(f"SELECT page_id, CASE WHEN c[1] = {SAN.format('r')} THEN array_to_string(c[2:], '/') ELSE array_to_string(c, '/') END AS path FROM (SELECT page_id, r, list_transform(p, lambda x: {SAN.format('x')}) AS c FROM (SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'http:' ELSE 'other' END AS r, string_split(replace(url, 'https:', 'http:'), '/') AS p FROM pages))")
 def build_path(spark, d):
     root = F.when(F.col("page_id") % 2 == 0, "http:").otherwise("other")
     parts = F.split(F.replace("url", F.lit("https:"), F.lit("http:")), "/")
     out = paths.build_path(parts, root)
-    return t(spark, d, "pages").select("page_id", F.concat(F.lit("["), F.array_join(out, ", "), F.lit("]")).alias("path"))
+    return t(spark, d, "pages").select("page_id", F.array_join(out, "/").alias("path"))
 
 
 @query("SELECT c_custkey AS leaf_id, r_name || '/' || n_name AS path FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey")
