@@ -10,6 +10,8 @@ from .decontaminate import contamination_digest
 from .jaccard_join import jaccard_components
 from .language_id import language_of
 from .language_model import language_model_scores
+from .license_scan import scan_licenses
+from .line_dedup import fuzzy_line_dedup
 from .mixing import mix_plan
 from .packing import pack_documents
 from .quality import quality_verdicts
@@ -48,12 +50,20 @@ def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model_scores(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def op8_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_line_dedup(table(spark, sf_dir, "documents"), "doc_id", "text", similarity=0.8, min_words=8)
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"), "doc_id", "text", containment=0.8)
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_digest(table(spark, sf_dir, "documents"), "doc_id", "text", length=20, start=10)
 
 
 def queries() -> dict:
-    named = {f.__name__: f for f in (op1_mixing, op2_quality_rules, op3_token_packing, op4_language_id, op5_ngram_jaccard_join, op6_decontamination, op7_language_model, op10_substring_dedup)}
+    named = {f.__name__: f for f in (op1_mixing, op2_quality_rules, op3_token_packing, op4_language_id, op5_ngram_jaccard_join, op6_decontamination, op7_language_model, op8_fuzzy_line_dedup, op9_license_scan, op10_substring_dedup)}
     return {"pipeline": corpus_pipeline.run, **named}
 
 
