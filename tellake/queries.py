@@ -452,7 +452,7 @@ def sample_rows(spark, d):
     return t(spark, d, "customer").join(F.broadcast(sample_ids(spark, d)), "c_custkey", "left_semi").select("c_custkey", "c_name")
 
 
-@query(f"SELECT c_custkey, CASE WHEN r < (n * 0.7::DOUBLE)::DOUBLE // 1 THEN 'train' WHEN r < (n * 0.7::DOUBLE) // 1 + (n * 0.15::DOUBLE) // 1 THEN 'val' ELSE 'test' END AS split FROM (SELECT c_custkey, row_number() OVER (ORDER BY {KEY} || '|' || c_custkey) - 1 AS r, count(*) OVER () AS n FROM customer)")
+@query(f"SELECT c_custkey, CASE WHEN r < floor(n * 0.7::DOUBLE) THEN 'train' WHEN r < floor(n * 0.7::DOUBLE) + floor(n * 0.15::DOUBLE) THEN 'val' ELSE 'test' END AS split FROM (SELECT c_custkey, row_number() OVER (ORDER BY {KEY} || '|' || c_custkey) - 1 AS r, count(*) OVER () AS n FROM customer)")
 def split_ids(spark, d):
     return sampling.split_ids(t(spark, d, "customer").select("c_custkey"), "c_custkey")
 
