@@ -36,6 +36,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+ROW_KEY = "__row"
+
+
+def with_row_keys(df: DataFrame) -> DataFrame:
+    """df with a column ROW_KEY that names each row; written, so that later jobs see the same names."""
+    return materialize(df.withColumn(ROW_KEY, F.monotonically_increasing_id()), "rows")
+
+
 def drop(*tables: DataFrame) -> None:
     """Delete the files of materialised tables that nothing reads any more; others are left alone."""
     for df in tables:
