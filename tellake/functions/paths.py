@@ -47,15 +47,18 @@ def resolve(wanted: DataFrame, listing: DataFrame, key: str, candidates: list[Co
     return found.groupBy(key).agg(F.min_by("try", "rank").alias("path"))
 
 
-def tree_paths(groups: DataFrame, leaves: DataFrame, depth: int = 16) -> DataFrame:
+def tree_paths(groups: DataFrame, leaves: DataFrame) -> DataFrame:
     """Rows (leaf_id, path): names from the root to the leaf's own group.
 
-    groups(id, parent_id, name), leaves(leaf_id, group_id).  One join a level, as deep as the tree.
+    groups(id, parent_id, name), leaves(leaf_id, group_id).  One join a level, as deep as the tree;
+    a group is not followed into itself.
     """
-    level = groups.filter("parent_id is null").select("id", F.array("name").alias("path"))
+    level = groups.filter("parent_id is null").select("id", F.array("name").alias("path"), F.array("id").alias("seen"))
     out, children = level, groups.select(F.col("id").alias("child"), "parent_id", "name")
-    for _ in range(depth):
-        level = children.join(level, children.parent_id == level.id).select(F.col("child").alias("id"), F.array_append("path", F.col("name")).alias("path"))
+    while True:
+        below = children.join(level, (children.parent_id == level.id) & ~F.array_contains("seen", F.col("child")))
+        # each level is cut off from those above, so that a deep tree is not one plan of all its joins
+        level = below.select(F.col("child").alias("id"), F.array_append("path", F.col("name")).alias("path"), F.array_append("seen", F.col("child")).alias("seen")).localCheckpoint()
         if level.isEmpty():
             break
         out = out.unionByName(level)
