@@ -8,8 +8,8 @@ costs far less than a softmax over the vocabulary, and every known word has a pr
 
 Training is truncated backpropagation through time.  Tasks train on their own share of the
 training stream from the same parameters, which are then averaged by token count (in Spark,
-in two steps), for a few rounds.  The stream is a fixed share of the training documents,
-chosen by checksum, so it grows with the input.  Counts cover every training document.
+in two steps), for a few rounds.  Each training document is in the stream of one round,
+chosen by checksum.  Counts cover every training document too.
 
 Scoring carries the state through the whole text, window by window, many texts side by side.
 """
@@ -36,7 +36,6 @@ HEAD_CLASSES = HEAD // PER_CLASS
 CLASSES = HEAD_CLASSES + TAIL
 HIDDEN = 16
 END = U(1)
-STREAM_SHARE = 4
 ROUNDS = 3
 LANES, STEPS = 32, 16
 SCORE_LANES, SCORE_TOKENS = 256, 2_500_000
@@ -285,7 +284,7 @@ def train(spark: SparkSession, blocks: DataFrame, vocab: Vocabulary) -> Model:
                 t = Tokens(body)
                 fed, cls, word = codes(told.value, t)
                 before, fresh = shifted(fed, t, int(told.value.index(np.array([END]))[0]))
-                turn = np.where(t.held_out | (t.crc // 10 % STREAM_SHARE != 0), -1, t.crc // (10 * STREAM_SHARE) % ROUNDS)
+                turn = np.where(t.held_out, -1, t.crc // 10 % ROUNDS)
                 turn = np.repeat(turn, np.diff(t.first) + 1)
                 for r in range(ROUNDS):
                     own = turn == r
