@@ -3,8 +3,9 @@
 A text is the L2-normalised vector of log-scaled counts of its hashed byte bigrams and
 trigrams (letters only, A-Z folded), weighted by inverse document frequency.  Each language
 has several centroids, found by spherical k-means, so that registers of one language need
-not share a mean.  The nearest centroid by cosine decides; a text further from it than the
-training texts of that centroid (their lowest similarity, times a slack) is rejected.
+not share a mean.  The nearest centroid by cosine decides.  A text is rejected if it is further
+from it than labelled texts that the centroids were not fitted to, cut down to its length:
+below a low quantile of their similarities, times a slack.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from .words import LOWER, slices, text_buffers
 
 BITS = 11
 WIDTH = 2 << BITS
+LENGTHS = np.array([8, 16, 32, 64, 128, 256, 512, 1024])
 _LETTER = LOWER.copy()
 _LETTER[:65] = _LETTER[91:97] = _LETTER[123:128] = 32
 _IS_ASCII_LETTER = np.zeros(256, bool)
@@ -59,7 +61,7 @@ def has_letters(buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 @dataclass
 class LanguageModel:
-    """idf: weight of each feature; centroids: unit rows; langs and floor: language and rejection similarity of each."""
+    """idf: weight of each feature; centroids: unit rows; langs: language of each; floor: its rejection similarity by length class."""
 
     idf: np.ndarray
     centroids: np.ndarray
@@ -74,42 +76,73 @@ class LanguageModel:
         letters = has_letters(buf, offsets)
         if not self.langs:
             return ["und"] * n, np.zeros(n), np.ones(n, bool)
-        cosine = self.vectors(gram_counts(buf, offsets)) @ self.centroids.T
+        counts = gram_counts(buf, offsets)
+        cosine = self.vectors(counts) @ self.centroids.T
         best = cosine.argmax(axis=1)
         score = np.clip(cosine[np.arange(n), best], 0, 1).astype(np.float64)
         score[~letters] = 0
-        return [self.langs[b] if ok else "und" for b, ok in zip(best.tolist(), letters.tolist())], score, ~letters | (score < self.floor[best])
+        return [self.langs[b] if ok else "und" for b, ok in zip(best.tolist(), letters.tolist())], score, ~letters | (score < self.floor[best, length_class(counts.sum(axis=1))])
 
 
 def unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
 
 
-def k_means(x: np.ndarray, k: int, steps: int = 12) -> np.ndarray:
-    """Unit centroids of unit rows; starts far apart, from the row nearest the mean."""
+def length_class(n_grams: np.ndarray) -> np.ndarray:
+    """Index in LENGTHS of the greatest length that n_grams reach, 0 below all."""
+    return np.maximum(np.searchsorted(LENGTHS, n_grams, "right") - 1, 0)
+
+
+def k_means(x: np.ndarray, k: int, steps: int = 12, seed: int = 5) -> np.ndarray:
+    """Unit centroids of unit rows, each of a twentieth of the rows at least; starts are drawn by their distance from those before (k-means++)."""
+    rng = np.random.default_rng(seed)
     chosen = [int((x @ x.mean(axis=0)).argmax())]
-    near = x @ x[chosen[0]]
-    while len(chosen) < min(k, len(x)):
-        chosen.append(int(near.argmin()))
-        near = np.maximum(near, x @ x[chosen[-1]])
+    far = 1 - x @ x[chosen[0]]
+    while len(chosen) < min(k, len(x)) and far.max() > 1e-6:
+        weight = np.maximum(far, 0).astype(np.float64)
+        chosen.append(int(rng.choice(len(x), p=weight / weight.sum())))
+        far = np.minimum(far, 1 - x @ x[chosen[-1]])
     c = x[chosen]
-    for _ in range(steps):
-        own = (x @ c.T).argmax(axis=1)
-        c = unit(np.stack([x[own == j].mean(axis=0) if (own == j).any() else c[j] for j in range(len(c))]))
-    return c[np.bincount((x @ c.T).argmax(axis=1), minlength=len(c)) > 0]
+    while True:
+        for _ in range(steps):
+            own = (x @ c.T).argmax(axis=1)
+            c = unit(np.stack([x[own == j].mean(axis=0) if (own == j).any() else c[j] for j in range(len(c))]))
+        size = np.bincount((x @ c.T).argmax(axis=1), minlength=len(c))
+        if len(c) == 1 or 20 * size.min() >= len(x):
+            return c
+        c = np.delete(c, size.argmin(), axis=0)
 
 
-def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", n_centroids: int = 4, sample_per_lang: int = 400, slack: float = 0.2) -> LanguageModel:
+def floors_of(counts: np.ndarray, idf: np.ndarray, centroids: np.ndarray, quantile: float, slack: float, seed: int = 5) -> np.ndarray:
+    """Rejection similarity of one language by length class: a low quantile over texts cut down to each length, times slack.
+
+    A text is cut down by drawing so many of its n-grams.
+    """
+    rng = np.random.default_rng(seed)
+    out = np.zeros(len(LENGTHS))
+    total = counts.sum(axis=1)
+    for k, n in enumerate(LENGTHS.tolist()):
+        some = counts[total >= n].astype(np.int64)
+        if len(some):
+            cut = np.stack([rng.multivariate_hypergeometric(row, n, method="marginals") for row in some])
+            out[k] = slack * float(np.quantile((unit(np.log1p(cut.astype(np.float32)) * idf) @ centroids.T).max(axis=1), quantile))
+        elif k:
+            out[k] = out[k - 1]
+    return out
+
+
+def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", n_centroids: int = 4, sample_per_lang: int = 400, quantile: float = 0.02, slack: float = 0.7) -> LanguageModel:
     """Learn from rows with a language and a letter; others are ignored.
 
     Document frequencies cover all these rows.  Centroids are clustered from a sample: rows
     chosen by a hash of their id, about sample_per_lang (a bound of the vectors that reach
-    the driver) for each language.  No such rows: a model that rejects everything.
+    the driver) for each language; every fourth of them is left out of the fit and sets the
+    floors (all of them do both where they are fewer than 8).  No such rows: a model that rejects everything.
     """
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).filter("text is not null and lang is not null")
     per_lang = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not per_lang:
-        return LanguageModel(np.zeros(WIDTH, np.float32), np.zeros((0, WIDTH), np.float32), [], np.zeros(0))
+        return LanguageModel(np.zeros(WIDTH, np.float32), np.zeros((0, WIDTH), np.float32), [], np.zeros((0, len(LENGTHS))))
     share = F.create_map(*[F.lit(x) for lang, n in per_lang.items() for x in (lang, min(1.0, sample_per_lang / n))])
     spread = F.pmod(F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit(""))), F.lit(1_000_003)) / 1_000_003.0
     rows = rows.select("text", "lang", (spread < share[F.col("lang")]).alias("sampled"))
@@ -147,14 +180,13 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
         by_lang.setdefault(r["lang"], []).append(np.frombuffer(r["vec"], np.uint16))
     centroids, langs, floors = [np.zeros((0, WIDTH), np.float32)], [], []
     for lang in sorted(by_lang):
-        x = unit(np.log1p(np.stack(by_lang[lang]).astype(np.float32)) * idf)
-        c = k_means(x, n_centroids)
-        near = x @ c.T
-        own = near.argmax(axis=1)
+        counts = np.stack(by_lang[lang])
+        outside = np.arange(len(counts)) % 4 == 3 if len(counts) >= 8 else np.ones(len(counts), bool)
+        c = k_means(unit(np.log1p(counts[~outside if len(counts) >= 8 else outside].astype(np.float32)) * idf), n_centroids)
         centroids.append(c.astype(np.float32))
         langs += [lang] * len(c)
-        floors += [slack * float(near[own == j, j].min()) for j in range(len(c))]
-    return LanguageModel(idf, np.concatenate(centroids), langs, np.array(floors))
+        floors += [floors_of(counts[outside], idf, c, quantile, slack)] * len(c)
+    return LanguageModel(idf, np.concatenate(centroids), langs, np.array(floors).reshape(len(langs), len(LENGTHS)))
 
 
 _FIT = ["part", "lang", "n", "vec"]
