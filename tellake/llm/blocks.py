@@ -8,7 +8,9 @@ the key over all blocks ("in how many texts?", "smallest document?").  A block s
 distinct key once, cut by key range into buckets; one group folds the blocks' parts of one
 bucket; answers come back per block in the order of the keys.  A key held by a third of all
 rows thus adds one entry per block, not one per row, and only packed arrays are shuffled.
-Rows of the shuffle are (blocks x buckets); buckets follow the number of keys.
+Rows of the shuffle are (blocks x buckets).  Up to KNEE bytes of text a block has a fixed size and
+so has a bucket; beyond, both grow with the square root of the input, so that a row holds the
+same bytes at every size and the rows grow in proportion to the input, not with its square.
 """
 
 from __future__ import annotations
@@ -20,13 +22,13 @@ import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .store import materialize, partitions_of
 from .words import slices, text_buffers
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES, BUCKET_BYTES, KNEE = 1 << 20, 12 << 20, 32 << 30
 NO_ID = np.iinfo(np.int64).max
 
 
@@ -73,11 +75,23 @@ class Block:
         return [None if n else int(x) for x, n in zip(self.ids.tolist(), self.no_id.tolist())]
 
 
-def make_blocks(df: DataFrame, id_col: str, text_col: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def exchange_sizes(total: int) -> tuple[int, int]:
+    """Bytes of text in a block and in a bucket for an input of total bytes; total / block * total / bucket rows meet."""
+    grown = max(1.0, (total / KNEE) ** 0.5)
+    return int(BLOCK_BYTES * grown), int(BUCKET_BYTES * grown)
+
+
+def text_bytes(df: DataFrame, text_col: str) -> int:
+    return df.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
+
+
+def make_blocks(df: DataFrame, id_col: str, text_col: str, block_bytes: int | None = None) -> DataFrame:
     """Documents as blocks (block long, n_docs int, n_bytes long, body binary), materialised.
 
     Only the two columns are read.  Null text: empty; null id: kept, ordered after all others.
+    Ids are integers, or strings of them; others fail.
     """
+    block_bytes = block_bytes or exchange_sizes(text_bytes(df, text_col))[0]
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq = TaskContext.get().partitionId(), 0
@@ -108,10 +122,14 @@ def make_blocks(df: DataFrame, id_col: str, text_col: str, block_bytes: int = BL
     return materialize(slim.mapInArrow(build, "block long, n_docs int, n_bytes long, body binary"), "blocks")
 
 
-def bucket_count(df: DataFrame, column: str = "n_bytes", bytes_per_bucket: int = 12 << 20) -> int:
+def bucket_count(df: DataFrame, column: str = "n_bytes") -> int:
     """Buckets for keys made from `column` bytes: three a shuffle partition, more as the data grow, fewer for little data."""
-    total = df.agg(F.sum(column)).first()[0] or 0
-    return int(max(min(3 * partitions_of(df.sparkSession), total // (bytes_per_bucket >> 6) + 1), total // bytes_per_bucket))
+    return buckets_for(df.sparkSession, df.agg(F.sum(column)).first()[0] or 0)
+
+
+def buckets_for(spark: SparkSession, total: int) -> int:
+    each = exchange_sizes(total)[1]
+    return int(max(min(3 * partitions_of(spark), total // (each >> 6) + 1), total // each))
 
 
 def exchange(rows: DataFrame, emit: Callable, fold: Callable, n_buckets: int, columns: list[str], name: str, lazy: bool = False) -> tuple[DataFrame, DataFrame]:

@@ -25,6 +25,7 @@ from .words import LOWER, slices, text_buffers
 
 BITS = 11
 WIDTH = 2 << BITS
+SLICE_TEXTS = 256
 LENGTHS = np.array([8, 16, 32, 64, 128, 256, 512, 1024])
 _LETTER = LOWER.copy()
 _LETTER[:65] = _LETTER[91:97] = _LETTER[123:128] = 32
@@ -152,7 +153,7 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
         for batch in batches:
             buf, offsets, _ = text_buffers(batch.column(0))
             langs, sampled = batch.column(1).to_pylist(), np.asarray(batch.column(2))
-            for i, j in slices(offsets):
+            for i, j in slices(offsets, texts=SLICE_TEXTS):
                 own = offsets[i : j + 1] - offsets[i]
                 part = buf[offsets[i] : offsets[j]]
                 counts = gram_counts(part, own)
@@ -201,16 +202,20 @@ def predict(df: DataFrame, model: LanguageModel, text_col: str = "text", keep: l
     new = ["lang_pred", "score", "rejected"]
     keep = [c for c in (df.columns if keep is None else keep) if c not in new]
     told = df.sparkSession.sparkContext.broadcast(model)
-    source = df.select(*keep, F.col(text_col).cast("string").alias("__text"))
+    columns = [df[f"`{c}`"] for c in keep]
+    # a text that is kept anyway crosses to Python once
+    once = text_col in keep and dict(df.dtypes)[text_col] == "string"
+    at = keep.index(text_col) if once else len(keep)
+    source = df.select(*columns) if once else df.select(*columns, df[f"`{text_col}`"].cast("string").alias("text of the prediction"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            buf, offsets, _ = text_buffers(batch.column(batch.num_columns - 1))
-            for i, j in slices(offsets):
+            buf, offsets, _ = text_buffers(batch.column(at))
+            for i, j in slices(offsets, texts=SLICE_TEXTS):
                 langs, score, rejected = told.value.predict(buf[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                yield pa.record_batch([*batch.slice(i, j - i).columns[:-1], pa.array(langs), pa.array(score), pa.array(rejected)], names=[*keep, *new])
+                yield pa.record_batch([*batch.slice(i, j - i).columns[: len(keep)], pa.array(langs), pa.array(score), pa.array(rejected)], names=[*keep, *new])
 
-    schema = df.select(*keep).schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
+    schema = df.select(*columns).schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
     return source.mapInArrow(run, schema)
 
 
@@ -229,4 +234,10 @@ def language_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
 def in_known_language(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """df without the rows that language identification rejects."""
     model = fit(df, id_col, text_col, lang_col)
-    return predict(df, model, text_col).filter("not rejected").select(*df.columns)
+    clash = [c for c in df.columns if c in ("lang_pred", "score", "rejected")]
+    if not clash:
+        return predict(df, model, text_col).filter("not rejected").select(*(F.col(f"`{c}`") for c in df.columns))
+    # columns called like a result go through under other names
+    away = {c: f"{c} of the input" for c in clash}
+    moved = df.withColumnsRenamed(away)
+    return predict(moved, model, away.get(text_col, text_col)).filter("not rejected").select(*(F.col(f"`{away.get(c, c)}`").alias(c) for c in df.columns))

@@ -58,6 +58,13 @@ def partitions_of(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def broadcast_if_small(df: DataFrame, most_rows: int = 2_000_000) -> DataFrame:
-    """df (materialised, of a few small columns) with a broadcast hint if it has at most most_rows; else unchanged, to be shuffled."""
-    return F.broadcast(df) if df.count() <= most_rows else df
+def broadcast_if_small(df: DataFrame, most_bytes: int = 32 << 20) -> DataFrame:
+    """df (materialised) with a broadcast hint if its rows take at most most_bytes; else unchanged, to be shuffled.
+
+    A row counts as 16 bytes and the sizes of its columns (strings and arrays: 64 bytes are assumed).
+    """
+    width = 16 + sum(_WIDTHS.get(t, 64) for _, t in df.dtypes)
+    return F.broadcast(df) if df.count() * width <= most_bytes else df
+
+
+_WIDTHS = {"bigint": 8, "int": 4, "double": 8, "float": 4, "boolean": 1, "tinyint": 1, "smallint": 2}

@@ -50,15 +50,36 @@ _powers: dict[int, np.ndarray] = {}
 
 
 def _power(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64, kept and grown as needed."""
+    """base**0 .. base**(n-1) modulo 2**64; SLICE_BYTES of them are kept, longer tables are made for one use."""
     have = _powers.get(base)
     if have is None or len(have) < n:
-        out = np.full(max(n, SLICE_BYTES), U(base))
-        out[0] = 1
-        have = _powers[base] = np.multiply.accumulate(out)
+        have = np.full(max(n, SLICE_BYTES), U(base))
+        have[0] = 1
+        np.multiply.accumulate(have, out=have)
+        if len(have) == SLICE_BYTES:
+            _powers[base] = have
     return have[:n]
 
 
+def span_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray, table: np.ndarray | None = None) -> np.ndarray:
+    """Hash of values[start[i]:end[i]] for spans in order that do not overlap; table translates the values first.
+
+    Spans are taken in groups of SLICE_BYTES values, so memory does not follow the length of values.
+    """
+    out = np.zeros(len(start), U)
+    i = 0
+    while i < len(start):
+        j = max(i + 1, int(np.searchsorted(end, start[i] + SLICE_BYTES, "right")))
+        a, b = int(start[i]), int(end[j - 1])
+        part = values[a:b] if table is None else table[values[a:b]]
+        run = np.zeros(b - a + 1, U)
+        np.cumsum(part * _power(_BASE, b - a), out=run[1:])
+        back = np.append(_power(_BASE_INV, b - a), U(0))
+        out[i:j] = (run[end[i:j] - a] - run[start[i:j] - a]) * back[start[i:j] - a]
+        i = j
+    return mix(out + (end - start).astype(U))
+
+
 @dataclass
 class Words:
     """Words of a batch: hash, byte range and text index of each; first[i]:first[i+1] are those of text i."""
@@ -97,11 +118,7 @@ def split_words(buf: np.ndarray, offsets: np.ndarray, table: np.ndarray = SPACED
     doc = np.repeat(np.arange(n_docs), np.diff(first))
     hashes = np.zeros(0, U)
     if hashed:
-        run = np.empty(len(buf) + 1, U)
-        run[0] = 0
-        np.cumsum(_BYTE[buf] * _power(_BASE, len(buf)), out=run[1:])
-        hashes = (run[end] - run[start]) * _power(_BASE_INV, len(buf))[start]
-        hashes = mix(hashes + (end - start).astype(U))
+        hashes = span_hashes(buf, start, end, _BYTE)
     return Words(buf, hashes, start, end, doc, first)
 
 
@@ -145,10 +162,10 @@ def text_buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.nda
     return buf, offsets - offsets[0], np.asarray(column.is_null())
 
 
-def slices(offsets: np.ndarray, most: int = SLICE_BYTES):
-    """Ranges of texts of about `most` bytes; a longer text is a range of its own."""
+def slices(offsets: np.ndarray, most: int = SLICE_BYTES, texts: int = 1 << 16):
+    """Ranges of at most `texts` texts of about `most` bytes; a longer text is a range of its own."""
     i, n = 0, len(offsets) - 1
     while i < n:
-        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + most, "right")) - 1)
-        yield i, min(j, n)
-        i = min(j, n)
+        j = min(max(i + 1, int(np.searchsorted(offsets, offsets[i] + most, "right")) - 1), i + texts, n)
+        yield i, j
+        i = j

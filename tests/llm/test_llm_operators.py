@@ -190,17 +190,6 @@ def test_lines(spark, empty):
     assert line_dedup.fuzzy_line_dedup(empty).count() == 0
 
 
-def test_near_pairs_are_all_found(spark):
-    import random
-
-    rng = random.Random(3)
-    base = [rng.getrandbits(63) for _ in range(60)]
-    sims = base + [b ^ sum(1 << k for k in rng.sample(range(63), rng.randint(0, 5))) for b in base]
-    got = {(r.h, r.h2) for r in line_dedup.near_pairs(line_dedup.in_buckets(spark.createDataFrame(list(enumerate(sims)), "h long, sim long"))).collect()}
-    rows = line_dedup.near_pairs(line_dedup.in_buckets(spark.createDataFrame(list(enumerate(sims)), "h long, sim long"))).count()
-    assert got == {(a, b) for a in range(120) for b in range(a + 1, 120) if bin(sims[a] ^ sims[b]).count("1") <= 3} and rows == len(got)
-
-
 def test_licenses(spark, docs, empty):
     text = "word " * 70 + license_scan.TEMPLATES["MIT"] + " tail" * 50
     rows = [(1, text), (2, "Released under the MIT License."), (3, None), (4, "x " * 500), (5, license_scan.TEMPLATES["BSD"].replace("binary", "any"))]
