@@ -6,10 +6,10 @@ recurrent state; all other words fall into tail classes by their ending, within
 probability is the smoothed relative frequency.  Each class is small, so one prediction
 costs far less than a softmax over the vocabulary, and every known word has a probability.
 
-Training is truncated backpropagation through time.  Tasks train on their own share of the
-training stream from the same parameters, which are then averaged by token count (in Spark,
-in two steps), for a few rounds.  The stream is a fixed share of the training documents,
-chosen by checksum, so it grows with the input.  Counts cover every training document.
+Training is truncated backpropagation through time over every token of every training document.
+Tasks train on their own share of the training stream from the same parameters, which are then
+averaged by token count (in Spark, in two steps), for a few rounds; each document is of one round,
+chosen by checksum.
 
 Scoring carries the state through the whole text, window by window, many texts side by side.
 """
@@ -36,10 +36,10 @@ HEAD_CLASSES = HEAD // PER_CLASS
 CLASSES = HEAD_CLASSES + TAIL
 HIDDEN = 16
 END = U(1)
-STREAM_SHARE = 4
 ROUNDS = 3
-LANES, STEPS = 32, 16
-SCORE_LANES, SCORE_TOKENS = 256, 2_500_000
+#: a window is STEPS tokens of many lanes; a lane runs for WINDOWS windows, and LANES lanes are the most
+LANES, STEPS, WINDOWS = 512, 16, 32
+SCORE_LANES, SCORE_TOKENS = 1024, 2_500_000
 SMOOTH = 0.1
 
 
@@ -191,11 +191,26 @@ class Model:
 
 
 class Trainer:
-    """Adagrad on windows of STEPS words in LANES lanes."""
+    """Adagrad on windows of STEPS words in many lanes; seen: the sums of squares so far."""
 
-    def __init__(self, model: Model, rate: float = 0.08):
+    def __init__(self, model: Model, seen: list[np.ndarray] | None = None, rate: float = 0.15):
         self.m, self.rate = model, rate
-        self.seen = [np.full(v.shape, 1e-3, np.float32) for v in model.values()]
+        self.seen = [np.full(v.shape, 1e-3, np.float32) for v in model.values()] if seen is None else [np.array(v, np.float32) for v in seen]
+
+    def run(self, fed: np.ndarray, fresh: np.ndarray, cls: np.ndarray, word: np.ndarray) -> int:
+        """Train on a stream of tokens; returns how many of them fill its lanes, the rest (fewer than lanes) are left.
+
+        A lane may start within a text: its state starts anew there.
+        """
+        lanes = max(1, min(LANES, len(fed) // (STEPS * WINDOWS)))
+        length = len(fed) // lanes
+        fed, fresh, cls, word = (x[: lanes * length].reshape(lanes, length).T for x in (fed, fresh, cls, word))
+        fresh = fresh.copy()
+        fresh[:1] = True
+        h = np.zeros((lanes, HIDDEN), np.float32)
+        for a in range(0, length, STEPS):
+            h = self.window(h, *(np.ascontiguousarray(x[a : a + STEPS]) for x in (fed, fresh, cls, word)))
+        return lanes * length
 
     def apply(self, k: int, grad: np.ndarray, rows=slice(None)) -> None:
         self.seen[k][rows] += grad * grad
@@ -275,7 +290,8 @@ def shifted(fed: np.ndarray, t: Tokens, end: int) -> tuple[np.ndarray, np.ndarra
     return before, fresh
 
 
-def train(spark: SparkSession, blocks: DataFrame, vocab: Vocabulary) -> Model:
+def train(spark: SparkSession, blocks: DataFrame, vocab: Vocabulary) -> tuple[Model, int]:
+    """The model and the number of tokens it was trained on: all of the training documents, each once."""
     told = spark.sparkContext.broadcast(vocab)
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,7 +301,7 @@ def train(spark: SparkSession, blocks: DataFrame, vocab: Vocabulary) -> Model:
                 t = Tokens(body)
                 fed, cls, word = codes(told.value, t)
                 before, fresh = shifted(fed, t, int(told.value.index(np.array([END]))[0]))
-                turn = np.where(t.held_out | (t.crc // 10 % STREAM_SHARE != 0), -1, t.crc // (10 * STREAM_SHARE) % ROUNDS)
+                turn = np.where(t.held_out, -1, t.crc // 10 % ROUNDS)
                 turn = np.repeat(turn, np.diff(t.first) + 1)
                 for r in range(ROUNDS):
                     own = turn == r
@@ -293,37 +309,35 @@ def train(spark: SparkSession, blocks: DataFrame, vocab: Vocabulary) -> Model:
                         yield pa.record_batch([pa.array([r], pa.int32()), pa.array([pack(before[own].astype(np.int16), fresh[own], cls[own].astype(np.int16), word[own].astype(np.int16))], pa.binary())], names=["round", "body"])
 
     streams = materialize(blocks.select("body").mapInArrow(stream, "round int, body binary"), "stream")
-    model = Model(vocab)
+    model, seen, tokens = Model(vocab), None, 0
     for turn in range(ROUNDS):
-        start = spark.sparkContext.broadcast(model.values())
+        start = spark.sparkContext.broadcast((model.values(), seen))
 
         def learn(batches: Iterator[pa.RecordBatch], start=start) -> Iterator[pa.RecordBatch]:
-            own, held, size = Trainer(Model(told.value, start.value)), [], 0
-            done = 0
-            least = LANES * STEPS * 4
-
-            def fit(parts: list) -> int:
-                fed, fresh, cls, word = (np.concatenate(x) for x in zip(*parts))
-                lanes = LANES if len(fed) >= LANES * STEPS else 1
-                length = len(fed) // lanes
-                fed, fresh, cls, word = (x[: lanes * length].reshape(lanes, length).T for x in (fed, fresh, cls, word))
-                h = np.zeros((lanes, HIDDEN), np.float32)
-                for a in range(0, length, STEPS):
-                    h = own.window(h, *(np.ascontiguousarray(x[a : a + STEPS]) for x in (fed, fresh, cls, word)))
-                return lanes * length
+            values, seen = start.value
+            own, held, size, done = Trainer(Model(told.value, values), seen), [], 0, 0
+
+            def fit(parts: list) -> tuple:
+                """Train on what is held; what is left over opens the next stretch."""
+                nonlocal done
+                whole = [np.concatenate(x) for x in zip(*parts)]
+                n = own.run(*whole)
+                done += n
+                return tuple(x[n:] for x in whole)
 
             for batch in batches:
                 for body in batch.column(0).to_pylist():
                     held.append(unpack(body))
                     size += len(held[-1][0])
-                    if size >= least * 8:
-                        done += fit(held)
-                        held, size = [], 0
-            if held:
-                done += fit(held)
+                    if size >= LANES * STEPS * WINDOWS:
+                        held = [fit(held)]
+                        size = len(held[0][0])
+            while held and size:
+                held = [fit(held)]
+                size = len(held[0][0])
             if done:
                 part = TaskContext.get().partitionId() % 32
-                yield pa.record_batch([pa.array([part], pa.int32()), pa.array([done]), pa.array([pack(*[v * np.float32(1) for v in own.m.values()])], pa.binary())], names=["part", "n", "body"])
+                yield pa.record_batch([pa.array([part], pa.int32()), pa.array([done]), pa.array([pack(*own.m.values(), *own.seen)], pa.binary())], names=["part", "n", "body"])
 
         def average(pdf: pd.DataFrame) -> pd.DataFrame:
             n = float(pdf["n"].sum())
@@ -337,8 +351,12 @@ def train(spark: SparkSession, blocks: DataFrame, vocab: Vocabulary) -> Model:
         own = streams.filter(F.col("round") == turn).select("body").mapInArrow(learn, schema)
         got = own.groupBy("part").applyInPandas(average, schema).toPandas()
         if len(got):
-            model = Model(vocab, [v.reshape(w.shape) for v, w in zip(unpack(average(got.sort_values("part"))["body"][0]), model.values())])
-    return model
+            mean = average(got.sort_values("part"))
+            tokens += int(mean["n"][0])
+            found = [v.reshape(w.shape) for v, w in zip(unpack(mean["body"][0]), model.values() * 2)]
+            seen = found[len(Model.names) :]
+            model = Model(vocab, found[: len(Model.names)])
+    return model, tokens
 
 
 def score_texts(model: Model, fed: np.ndarray, cls: np.ndarray, word: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -397,7 +415,8 @@ def language_model_scores(df: DataFrame, id_col: str = "doc_id", text_col: str =
     blocks = make_blocks(df, id_col, text_col)
     found, said = exchange(blocks, Emit(training_counts, _COUNT), fold_counts, bucket_count(blocks), ["body"], "words")
     vocab = vocabulary(said)
-    told = spark.sparkContext.broadcast((vocab, train(spark, blocks, vocab).values()))
+    model, _ = train(spark, blocks, vocab)
+    told = spark.sparkContext.broadcast((vocab, model.values()))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab, values = told.value

@@ -177,6 +177,7 @@ def test_language_model(docs, rows, empty):
     n, v = sum(count.values()), len(count)
     want = Counter((i, held(i), len(t), sum(count[w] > 0 for w in t), n, round(sum(math.log10((count[w] + 0.1) / (n + 0.1 * (v + 1))) for w in t), 6)) for i, t in tokens)
     assert Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in out) == want
+    assert all(r.score < 0 and math.isfinite(r.score) for r in out)
     fresh = [r for r in out if r.held_out]
     assert sum(r.score for r in fresh) > sum(r.base_score for r in fresh) and all(r.score < 0 for r in out)
     assert language_model.language_model_scores(empty).count() == 0
