@@ -18,33 +18,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import id_array
+from .license_texts import TEMPLATES
 from .words import ALNUM, LOWER, U, mix, slices, split_words, text_buffers, windows
 
-#: (width, stride) of windows in words, narrow and wide
+#: (width, stride) of windows in words, for templates of few and of many words
 WINDOWS, BANDS, SHINGLE = ((8, 4), (32, 8)), 32, 5
 _SALTS = np.random.default_rng(99).integers(1, 1 << 63, BANDS, dtype=np.uint64) | U(1)
 
-#: fixed values: opening or notice texts of public licenses
-TEMPLATES = {
-    "MIT": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction",
-    "Apache-2.0": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at",
-    "BSD": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
-    "GPL": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation",
-    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at",
-    "Apache-2.0 (line)": "Licensed under the Apache License, Version 2.0.",
-    "MIT (line)": "Released under the MIT License.",
-    "GPL-3.0 (line)": "This work is licensed under the GNU General Public License, version 3.",
-    "CC-BY-NC-4.0 (line)": "Licensed under CC BY-NC 4.0.",
-    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies",
-}
-
 
 def shingles(words: np.ndarray) -> np.ndarray:
     return windows(words, SHINGLE) if len(words) >= SHINGLE else windows(words, len(words)) if len(words) else words
 
 
-def signatures(grams: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
-    """Band values [len(starts), BANDS]: smallest salted hash of grams[s:s+width] in each band."""
+def signatures(grams: np.ndarray, starts: np.ndarray, width: int | np.ndarray) -> np.ndarray:
+    """Band values [len(starts), BANDS]: smallest salted hash of grams[s:s+width] in each band; one width for all, or one each."""
     out = np.empty((len(starts), BANDS), U)
     edges = np.minimum(np.stack([starts, starts + width], axis=1), len(grams)).ravel()
     padded = np.append(grams, ~U(0))
@@ -64,13 +51,30 @@ class Template:
         self.bands = np.unique(signatures(own, starts, self.width - SHINGLE + 1)) if len(own) else own
 
 
+def text_shingles(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles of several texts, none across a border, and the bounds of each text's; a short text is one shingle."""
+    n = np.diff(first)
+    count = np.where(n > 0, np.maximum(n - SHINGLE + 1, 1), 0)
+    bounds = np.r_[0, np.cumsum(count)]
+    every = windows(words, SHINGLE)
+    long = np.flatnonzero(n >= SHINGLE)
+    out = np.zeros(int(bounds[-1]), U)
+    inside = np.arange(int(count[long].sum())) - np.repeat(np.cumsum(count[long]) - count[long], count[long])
+    out[np.repeat(bounds[long], count[long]) + inside] = every[np.repeat(first[long], count[long]) + inside]
+    for i in np.flatnonzero((n > 0) & (n < SHINGLE)).tolist():
+        out[bounds[i]] = shingles(words[first[i] : first[i + 1]])[0]
+    return out, bounds
+
+
 def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] | None = None, containment: float = 0.8) -> DataFrame:
     """Rows (doc_id, n_words, licenses, spans), one per input row.
 
     licenses: sorted names of contained templates; spans: (name, from, to), the word range
     in which each was verified first.  Words are [0-9a-z and non-ASCII]+ after A-Z became
-    a-z.  Null, wordless or shorter than a shingle: a text of fewer than five words is its
-    own one shingle.  Templates without words match nothing.  Null and repeated ids are kept.
+    a-z.  Null or wordless text: nothing found.  A template of fewer than five words is found
+    where its words stand in a row; a text of fewer than five words is its own one shingle.
+    Templates without words match nothing.  Null and repeated ids are kept; ids are integers,
+    or strings of them.  Other columns are not read.
     """
     known = [Template(n, x) for n, x in sorted((TEMPLATES if templates is None else templates).items())]
     told = df.sparkSession.sparkContext.broadcast([x for x in known if len(x.grams)])
@@ -83,6 +87,7 @@ def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             owner = np.concatenate([np.zeros(0, np.int64), *(np.full(len(x.bands), k) for k, x in own)])
             order = np.argsort(values, kind="stable")
             tables.append((width, stride, values[order], owner[order]))
+        short = [x for x in told.value if x.n_words < SHINGLE]
         for batch in batches:
             ids, no_id = id_array(batch.column(0))
             buf, offsets, _ = text_buffers(batch.column(1))
@@ -90,25 +95,35 @@ def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 w = split_words(buf[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], ALNUM, LOWER)
                 n_words = np.diff(w.first)
                 found: list[dict] = [{} for _ in range(j - i)]
-                every = windows(w.hash, SHINGLE) if len(w) >= SHINGLE else shingles(w.hash)
+                grams, bounds = text_shingles(w.hash, w.first)
+                last = bounds[1:] - 1
                 for width, stride, values, owner in tables:
                     count = np.where(n_words > 0, np.maximum(n_words - width + stride - 1, 0) // stride + 1, 0)
                     doc = np.repeat(np.arange(j - i), count)
-                    at = w.first[doc] + stride * (np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count))
-                    at = np.minimum(at, len(every) - 1)
+                    at = stride * (np.arange(len(doc)) - np.repeat(np.cumsum(count) - count, count))
                     if not len(values) or not len(at):
                         continue
-                    sign = signatures(every, at, width - SHINGLE + 1)
+                    start = np.minimum(bounds[doc] + at, last[doc])
+                    sign = signatures(grams, start, np.minimum(width - SHINGLE + 1, bounds[doc + 1] - start))
                     hit = np.minimum(np.searchsorted(values, sign), len(values) - 1)
                     rows, bands = np.nonzero(values[hit] == sign)
+                    tried: set[tuple[int, int]] = set()
                     for r, b in zip(rows.tolist(), bands.tolist()):
                         for k in owner[hit[r, b] : np.searchsorted(values, sign[r, b], "right")].tolist():
                             x, d = told.value[k], int(doc[r])
-                            if x.name not in found[d]:
-                                lo = max(int(w.first[d]), int(at[r]) - x.n_words)
-                                hi = min(int(w.first[d + 1]), int(at[r]) + width + x.n_words)
-                                if np.isin(x.grams, shingles(w.hash[lo:hi])).mean() >= containment:
-                                    found[d][x.name] = (lo - int(w.first[d]), hi - int(w.first[d]))
+                            if x.name in found[d] or (r, k) in tried:
+                                continue
+                            tried.add((r, k))
+                            lo = max(0, int(at[r]) - x.n_words)
+                            hi = min(int(n_words[d]), int(at[r]) + width + x.n_words)
+                            own = grams[bounds[d] + min(lo, int(last[d] - bounds[d])) : max(bounds[d] + hi - SHINGLE + 1, bounds[d] + 1)]
+                            if np.isin(x.grams, own).mean() >= containment:
+                                found[d][x.name] = (lo, hi)
+                for x in short:  # fewer words than a shingle: looked for as a row of words
+                    for p in np.flatnonzero(windows(w.hash, x.n_words) == x.grams[0]).tolist():
+                        d = int(w.doc[p])
+                        if p + x.n_words <= w.first[d + 1] and x.name not in found[d]:
+                            found[d][x.name] = (p - int(w.first[d]), p - int(w.first[d]) + x.n_words)
                 yield pa.record_batch(
                     [pa.array(ids[i:j], mask=no_id[i:j]), pa.array(n_words), pa.array([sorted(f) for f in found], pa.list_(pa.string())),
                      pa.array([[{"name": n, "from": a, "to": b} for n, (a, b) in sorted(f.items())] for f in found], pa.list_(pa.struct([("name", pa.string()), ("from", pa.int32()), ("to", pa.int32())])))],

@@ -7,8 +7,9 @@ what remains is filled with its documents in key order until their sizes reach i
 Finding where a source's prefix sum reaches its budget needs no sort of the source: sizes
 are summed by coarse key bin (pre-aggregated before the shuffle), the bin that crosses the
 budget is split into finer bins, and only the documents of that one fine bin are ordered.
-A source with a third of all rows thus puts about one row in a million into one window.
-Only DataFrame functions are used.
+Bins are equal steps of the key's logarithm, whose density is the same for every quality (it
+only moves), so one fine bin holds about one row in 47,000 of a source at most.
+Shares of sources are windows over one row a source.  Only DataFrame functions are used.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from pyspark.sql import functions as F
 from .store import materialize
 
 BINS = 1024
+#: natural logarithms of keys: those of u = 1 - 2**-54 at quality 1 and of u = 2**-54 at quality 1e-6 lie within
+LOW_LOG, HIGH_LOG = -38.0, 18.0
 MAX_EPOCHS = 3
 
 
@@ -38,7 +41,7 @@ def keyed(df: DataFrame, id_col: str, text_col: str, source_col: str, quality: C
     sized = df.withColumns({"__size": word_count(text_col), "__source": F.coalesce(F.concat(F.lit("s"), F.col(source_col)), F.lit("null"))})
     weight = default_quality(F.col("__size")) if quality is None else quality
     drawn = sized.withColumn("__key", -F.log(u) / F.greatest(weight, F.lit(1e-6)))
-    return drawn.withColumn("__bin", F.least(F.lit(BINS * BINS - 1), F.floor((1 - F.exp(-F.col("__key"))) * (BINS * BINS))).cast("int"))
+    return drawn.withColumn("__bin", F.greatest(F.lit(0), F.least(F.lit(BINS * BINS - 1), F.floor((F.log("__key") - LOW_LOG) * (BINS * BINS / (HIGH_LOG - LOW_LOG))))).cast("int"))
 
 
 def targets(rows: DataFrame, source: Column, weights: tuple[float, ...] = (1.0, 2.0, 3.0)) -> DataFrame:
@@ -120,10 +123,13 @@ def mix_plan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sour
 def mixed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: tuple[float, ...] = (1.0, 2.0, 3.0), quality: Column | None = None, seed: int = 17) -> DataFrame:
     """The mix itself: rows of df, each as often as the mix takes it (none to three times).
 
-    Rows stay whole: the one that crosses a source's target is kept if half of it fits.
+    Rows stay whole: the one that crosses a source's target is kept if half of it fits.  A null
+    text has no words and is never taken beyond complete epochs of its source; a null source is a
+    source.  Columns of df may have any names.
     """
-    rows = keyed(df, id_col, text_col, source_col, quality, seed)
-    slim = materialize(rows.select(F.col(source_col).alias("source"), "__size", "__source", "__key", "__bin"), "mix")
+    whole = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(source_col).cast("string").alias("source"), *([] if quality is None else [quality.alias("__weight")]))
+    rows = keyed(whole, "doc_id", "text", "source", None if quality is None else F.col("__weight"), seed)
+    slim = materialize(rows.select("source", "__size", "__source", "__key", "__bin"), "mix")
     plan = thresholds(slim, materialize(targets(slim, F.col("source"), weights), "mix-targets"))
     out = rows.join(plan.drop("source_size", "target"), "__source").withColumn("__times", F.col("epochs") + (extra_part() >= 0.5).cast("int")).filter("__times > 0")
-    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*df.columns)
+    return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select("row.*")

@@ -49,6 +49,31 @@ def test_mixing(docs, empty):
     assert all(abs(v[0] - t) <= 2 for (_, t), v in by.items())
     assert math.isclose(sum(t for _, t in by), sum(r["size"] for r in out))
     assert mixing.mix_plan(empty).count() == 0 and mixing.mixed(docs).columns == docs.columns
+    assert mixing.mixed(docs.withColumns({"__key": F.lit(1), "__times": F.lit("x"), "a.b": F.lit(2)})).columns == [*docs.columns, "__key", "__times", "a.b"]
+
+
+@pytest.mark.parametrize("quality", [None, 0.1, 1e-6])
+def test_mixing_takes_keys_in_order(docs, quality):
+    """Every row's take against a plain sort by key; bins do not degenerate at low quality."""
+    weight = None if quality is None else F.lit(quality)
+    out = mixing.mix_plan(docs, quality=weight).collect()
+    groups = {}
+    for r in out:
+        groups.setdefault((r.source_size, r.target), []).append(r)
+    for (size, target), rows in groups.items():
+        epochs = int(target // size) if size else 0
+        left = target - epochs * size
+        by_key = {}
+        for r in rows:
+            by_key.setdefault(r.quality_key, []).append(r)
+        for key in sorted(by_key):
+            total = sum(r["size"] for r in by_key[key])
+            part = min(1.0, max(0.0, left / total)) if total else 0.0
+            left -= total
+            for r in by_key[key]:
+                assert abs(r.taken - (epochs * r["size"] + part * r["size"])) <= 0.5 + 1e-6
+    bins = mixing.keyed(docs, "doc_id", "text", "source", weight, 17).groupBy("__bin").count().agg(F.max("count")).first()[0]
+    assert bins <= 6
 
 
 def test_quality(docs, rows, empty):
@@ -192,15 +217,46 @@ def test_lines(spark, empty):
 
 
 def test_licenses(spark, docs, empty):
-    text = "word " * 70 + license_scan.TEMPLATES["MIT"] + " tail" * 50
-    rows = [(1, text), (2, "Released under the MIT License."), (3, None), (4, "x " * 500), (5, license_scan.TEMPLATES["BSD"].replace("binary", "any"))]
-    out = {r.doc_id: r.licenses for r in license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string"), containment=0.7).collect()}
-    assert out == {1: ["MIT"], 2: ["MIT (line)"], 3: [], 4: [], 5: ["BSD"]}
+    known = license_scan.TEMPLATES
+    text = "word " * 70 + known["MIT"] + " tail" * 50
+    rows = [(1, text), (2, "Released under the MIT License."), (3, None), (4, "x " * 500), (5, known["BSD (grant)"].replace("binary", "any")), (5, known["BSD (grant)"].replace("binary", "any")), (None, "\n".join(known.values()))]
+    out = license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string"), containment=0.7).collect()
+    assert sorted(((r.doc_id or 0), tuple(r.licenses)) for r in out) == [(0, tuple(sorted(known))), (1, ("MIT", "MIT (grant)")), (2, ("MIT (line)",)), (3, ()), (4, ()), (5, ("BSD (grant)",)), (5, ("BSD (grant)",))]
     want = {r.doc_id for r in docs.collect() if "Licensed under CC BY-NC 4.0." in (r.text or "")}
     assert {r.doc_id for r in license_scan.scan_licenses(docs).collect() if "CC-BY-NC-4.0 (line)" in r.licenses} == want
     assert license_scan.scan_licenses(empty).count() == 0
 
 
+def test_short_templates_and_borders(spark):
+    """Templates below a shingle are found, and no window crosses into the next text."""
+    rows = [(1, "MIT License"), (2, "the mit license, here"), (3, "MIT"), (4, "License MIT"), (5, "one two three"), (6, "four five six seven eight")]
+    names = {"x": "MIT License", "y": "two three four five six seven", "z": "!"}
+    out = {r.doc_id: r.licenses for r in license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), templates=names).collect()}
+    assert out == {1: ["x"], 2: ["x"], 3: [], 4: [], 5: [], 6: []}
+
+
+def test_licenses_against_every_window(spark):
+    """Edited templates in running text: found where some stretch as long as the template, with its margins, contains 0.8 of its shingles."""
+    import random
+
+    rng = random.Random(4)
+    names = {k: v for k, v in license_scan.TEMPLATES.items() if len(v.split()) >= 20}
+    words = [f"w{k}" for k in range(300)]
+    rows, planted = [], []
+    for k in range(150):
+        name = rng.choice(sorted(names))
+        body = names[name].split()
+        for _ in range(rng.randint(0, len(body) // 8)):
+            body[rng.randrange(len(body))] = rng.choice(words)
+        rows.append((k, " ".join(rng.choices(words, k=rng.randint(0, 90)) + body + rng.choices(words, k=rng.randint(0, 90)))))
+        planted.append(name)
+    terms = lambda s: re.findall("[0-9a-z\x80-\U0010ffff]+", lower(s))
+    five = lambda w: {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
+    want = {(k, n) for k, s in rows for n, t in names.items() if len(five(terms(t)) & five(terms(s))) >= 0.8 * len(five(terms(t)))}
+    got = {(r.doc_id, n) for r in license_scan.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string"), templates=names).collect() for n in r.licenses}
+    assert got <= want and len(got) >= 0.99 * len(want) and len(want) > 60, (len(got), len(want))
+
+
 @pytest.mark.parametrize(("length", "start"), [(20, 10), (6, 2)])
 def test_substrings(docs, rows, empty, length, start):
     texts = [(math.inf if i is None else i, k, re.findall(SPACED, s)) for k, (i, s, _) in enumerate(rows)]
