@@ -1,29 +1,42 @@
 """Quality rules: base counts and divergence from language references, in DataFrame functions only.
 
-Each text has two histograms: its characters by class and its words by common word.  The
-references of a language are the same histograms summed over all its long enough texts
-that pass the base rules.  A text whose Jensen-Shannon distance from its language is too
-large in either is dropped, if it is long enough for its histogram to mean something.
+Each text has two histograms: its characters by class and its words by common word.  The common
+words of a language are those that make up COMMON_SHARE of the words of its texts of MIN_WORDS
+words or more, so there are at most 1 / COMMON_SHARE of them; their shares are the word reference.
+The character reference sums the histograms of its texts that pass the base rules.  A text whose
+Jensen-Shannon distance from its language is too large in either is dropped, if it is long enough
+for its histogram to mean something.  Too large: SPREADS times as far above the median distance
+of the language's base-passing texts as the third quartile is, LEAST_SPREAD at least.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .store import broadcast_if_small, materialize
+from .store import broadcast_if_small, drop, materialize
 
-#: fixed values: frequent function words of the four languages
-COMMON_WORDS = ("the", "of", "and", "to", "in", "is", "that", "le", "la", "les", "des", "et", "un", "une", "der", "die", "das", "und", "ein", "zu", "el", "los", "las", "de", "que", "en", "se", "por")
 WORD, SPACE = r"[^\x20\x09-\x0D]+", r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
-#: character distance above which a text of CHAR_MIN characters or more is dropped
-CHAR_LIMIT, CHAR_MIN = 0.30, 200
-#: share of the distance of a text without any common word, for texts of WORD_MIN words or more
-WORD_LIMIT, WORD_MIN = 0.95, 100
+COMMON_SHARE = 0.01
+#: characters and words of the shortest texts that the two distances judge
+CHAR_MIN, WORD_MIN = 200, 100
+SPREADS, LEAST_SPREAD = 8.0, 0.01
+
+
+def common_words(df: DataFrame, text_col: str, lang_col: str) -> DataFrame:
+    """Rows (common_lang, common, ref_words), materialised: the common words of each language in order, and their shares and that of all others."""
+    words = F.regexp_extract_all(F.col(text_col).cast("string"), F.lit(WORD), 0)
+    long = df.select(F.col(lang_col).cast("string").alias("lang"), words.alias("words")).filter(F.col("lang").isNotNull() & (F.size("words") >= MIN_WORDS))
+    counts = materialize(long.select("lang", F.explode("words").alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n")), "word-counts")
+    totals = broadcast_if_small(materialize(counts.groupBy("lang").agg(F.sum("n").alias("total")), "word-totals"))
+    often = counts.join(totals, "lang").filter(F.col("n") >= COMMON_SHARE * F.col("total"))
+    listed = often.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("word", (F.col("n") / F.col("total")).alias("share")))).alias("w"))
+    rest = F.greatest(F.lit(0.0), 1.0 - F.aggregate("w.share", F.lit(0.0), lambda a, b: a + b))
+    out = materialize(listed.select(F.col("lang").alias("common_lang"), F.col("w.word").alias("common"), F.concat("w.share", F.array(rest)).alias("ref_words")), "common-words")
+    drop(counts)
+    return out
 
 
 def coded_windows(words: Column, n: Column) -> tuple[Column, Column]:
@@ -47,15 +60,19 @@ def covered_by_repeats(coded: Column, bits: Column) -> Column:
     return F.sort_array(F.transform(again, lambda x: x - F.call_function("shiftleft", window(x), bits)))
 
 
-def features(df: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
-    """Rows (doc_id, lang, base columns, char_hist, word_hist), one per input row; null text counts as empty."""
+def features(df: DataFrame, id_col: str, text_col: str, lang_col: str, common: DataFrame) -> DataFrame:
+    """Rows (doc_id, lang, base columns, char_hist, word_hist), one per input row; null text counts as empty.
+
+    word_hist counts the common words of the row's language and all others; null without a language.
+    """
     out = df.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    out = out.select("doc_id", "lang", "text", F.regexp_extract_all("text", F.lit(WORD), 0).alias("words"), F.regexp_replace("text", SPACE, "").alias("chars"))
+    out = out.join(common, out.lang == common.common_lang, "left")
+    out = out.select("doc_id", "lang", "common", "text", F.regexp_extract_all("text", F.lit(WORD), 0).alias("words"), F.regexp_replace("text", SPACE, "").alias("chars"))
     out = out.withColumns({"n": F.size("words"), "no_lower": F.regexp_replace("chars", "[a-z]+", "")})
     coded, bits = coded_windows(F.col("words"), F.col("n"))
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(WORD))
-    common = F.filter("words", lambda w: w.isin(*COMMON_WORDS))
-    out = out.withColumns({"coded": coded, "bits": bits, "lines": lines, "common": F.concat(F.lit(" "), F.array_join(common, "  "), F.lit(" ")), "n_common": F.size(common), "no_upper": F.regexp_replace("no_lower", "[A-Z]+", "")})
+    some = F.filter("words", lambda w: F.array_contains("common", w))
+    out = out.withColumns({"coded": coded, "bits": bits, "lines": lines, "some": some, "no_upper": F.regexp_replace("no_lower", "[A-Z]+", "")})
     out = out.withColumns({"places": covered_by_repeats(F.col("coded"), F.col("bits")), "no_digit": F.regexp_replace("no_upper", "[0-9]+", "")})
     out = out.withColumns({"no_symbol": F.translate("no_digit", SYMBOLS, "")})
     out = out.withColumns({"no_ascii": F.regexp_replace("no_symbol", r"[\x00-\x7F]+", "")})
@@ -65,11 +82,11 @@ def features(df: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFr
         return (F.length(before) - F.length(after)).cast("double")
 
     chars = [gone("chars", "no_lower"), gone("no_lower", "no_upper"), gone("no_upper", "no_digit"), gone("no_digit", "no_symbol"), gone("no_symbol", "no_ascii"), F.length("no_ascii").cast("double")]
-    counts = [((F.length("common") - F.length(F.replace("common", F.lit(f" {w} "), F.lit("")))) / (len(w) + 2)).cast("double") for w in COMMON_WORDS]
+    counts = F.transform("common", lambda c: F.size(F.filter("some", lambda w: w == c)).cast("double"))
     return out.select(
         "doc_id", "lang", F.col("n").cast("long").alias("n_words"), F.length("chars").cast("long").alias("word_chars"), gone("no_digit", "no_symbol").cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"), repeat.alias("n_repeat_words"),
-        F.array(*chars).alias("char_hist"), F.array(*counts, (F.col("n") - F.col("n_common")).cast("double")).alias("word_hist"),
+        F.array(*chars).alias("char_hist"), F.concat(counts, F.array((F.col("n") - F.size("some")).cast("double"))).alias("word_hist"),
     ).withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
 
 
@@ -80,37 +97,50 @@ def share(hist: Column | str) -> Column:
 
 
 def jensen_shannon(p: Column, q: Column) -> Column:
-    """Jensen-Shannon distance of two distributions, base 2: between 0 and 1."""
+    """Jensen-Shannon distance of two distributions, base 2: between 0 and 1; null where either is null."""
 
     def half(a: Column, b: Column) -> Column:
         return F.when(a > 0, a * F.log2(2 * a / (a + b))).otherwise(F.lit(0.0))
 
-    return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(F.zip_with(p, q, lambda a, b: (half(a, b) + half(b, a)) / 2), F.lit(0.0), lambda s, x: s + x)))
+    return F.when(p.isNotNull() & q.isNotNull(), F.sqrt(F.greatest(F.lit(0.0), F.aggregate(F.zip_with(p, q, lambda a, b: (half(a, b) + half(b, a)) / 2), F.lit(0.0), lambda s, x: s + x))))
 
 
 def references(rows: DataFrame) -> DataFrame:
-    """Rows (ref_lang, ref_chars, ref_words): histograms summed over each language's texts that pass the base rules."""
+    """Rows (ref_lang, ref_chars): character histograms summed over each language's texts that pass the base rules."""
     good = rows.filter("not base_failed and lang is not null")
+    sums = good.groupBy(F.col("lang").alias("ref_lang")).agg(*[F.sum(F.get("char_hist", F.lit(i))).alias(f"c{i}") for i in range(6)])
+    return sums.select("ref_lang", share(F.array(*[f"c{i}" for i in range(6)])).alias("ref_chars"))
+
+
+def limits(scored: DataFrame) -> DataFrame:
+    """Rows (limit_lang, char_limit, word_limit) from the distances of each language's base-passing texts that are long enough for them."""
 
-    def summed(name: str, n: int) -> list[Column]:
-        return [F.sum(F.get(name, F.lit(i))).alias(f"{name}{i}") for i in range(n)]
+    def limit(name: str, enough: Column) -> Column:
+        q = F.percentile_approx(F.when(enough, F.col(name)), F.array(F.lit(0.5), F.lit(0.75)), 10000)
+        return F.get(q, F.lit(0)) + SPREADS * F.greatest(F.lit(LEAST_SPREAD), F.get(q, F.lit(1)) - F.get(q, F.lit(0)))
 
-    widths = {"char_hist": 6, "word_hist": len(COMMON_WORDS) + 1}
-    sums = good.groupBy(F.col("lang").alias("ref_lang")).agg(*reduce(lambda a, b: a + b, (summed(k, n) for k, n in widths.items())))
-    return sums.select("ref_lang", *[share(F.array(*(F.col(f"{k}{i}") for i in range(n)))).alias(name) for (k, n), name in zip(widths.items(), ("ref_chars", "ref_words"))])
+    good = scored.filter("not base_failed and lang is not null").groupBy(F.col("lang").alias("limit_lang"))
+    return good.agg(limit("char_distance", F.col("word_chars") >= CHAR_MIN).alias("char_limit"), limit("word_distance", F.col("n_words") >= WORD_MIN).alias("word_limit"))
 
 
 def quality_verdicts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """Rows (doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, char_distance, word_distance, kept).
 
     One per input row.  Null or wordless text: zero counts, base_failed.  A distance is null
-    where the language is null; a null distance, or a text below the length guard, drops nothing.
+    where the language is null or has no reference; a null distance, or a text below the length
+    guard, drops nothing.  Other columns are not read.
     """
-    rows = materialize(features(df, id_col, text_col, lang_col), "quality")
+    common = broadcast_if_small(common_words(df, text_col, lang_col))
+    rows = materialize(features(df, id_col, text_col, lang_col, common), "quality")
     refs = broadcast_if_small(materialize(references(rows), "references"))
-    out = rows.join(refs, rows.lang == refs.ref_lang, "left")
-    out = out.withColumns({"char_distance": jensen_shannon(share("char_hist"), F.col("ref_chars")), "word_distance": jensen_shannon(share("word_hist"), F.col("ref_words"))})
-    none = jensen_shannon(F.array(*[F.lit(0.0)] * len(COMMON_WORDS), F.lit(1.0)), F.col("ref_words"))
-    odd = ((F.col("word_chars") >= CHAR_MIN) & (F.col("char_distance") > CHAR_LIMIT)) | ((F.col("n_words") >= WORD_MIN) & (F.col("word_distance") > WORD_LIMIT * none))
+    out = rows.join(refs, rows.lang == refs.ref_lang, "left").join(common.drop("common"), rows.lang == common.common_lang, "left")
+    scored = out.select(
+        *(c for c in rows.columns if not c.endswith("_hist")),
+        jensen_shannon(share("char_hist"), F.col("ref_chars")).alias("char_distance"), jensen_shannon(share("word_hist"), F.col("ref_words")).alias("word_distance"))
+    scored = materialize(scored, "scored")
+    drop(rows)
+    bounds = broadcast_if_small(materialize(limits(scored), "limits"))
+    odd = ((F.col("word_chars") >= CHAR_MIN) & (F.col("char_distance") > F.col("char_limit"))) | ((F.col("n_words") >= WORD_MIN) & (F.col("word_distance") > F.col("word_limit")))
     kept = ~F.col("base_failed") & ~F.coalesce(odd, F.lit(False))
+    out = scored.join(bounds, scored.lang == bounds.limit_lang, "left")
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "char_distance", "word_distance", kept.alias("kept"))

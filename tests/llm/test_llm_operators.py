@@ -76,6 +76,58 @@ def test_mixing_takes_keys_in_order(docs, quality):
     assert bins <= 6
 
 
+def distance(p, q):
+    half = lambda a, b: a * math.log2(2 * a / (a + b)) if a > 0 else 0.0
+    return math.sqrt(max(0.0, sum((half(a, b) + half(b, a)) / 2 for a, b in zip(p, q))))
+
+
+def shares(hist):
+    return [x / sum(hist) if sum(hist) else 0.0 for x in hist]
+
+
+def check_divergence(docs, out):
+    """Both distances and the verdicts in plain Python."""
+    base = {(r.doc_id, r.n_words, r.word_chars): r for r in out}
+    words = [re.findall(SPACED, r.text or "") for r in docs]
+    counts = {}
+    for r, w in zip(docs, words):
+        if r.lang and len(w) >= 50:
+            counts.setdefault(r.lang, Counter()).update(w)
+    total = {k: sum(c.values()) for k, c in counts.items()}
+    common = {k: sorted(w for w, n in c.items() if n >= 0.01 * total[k]) for k, c in counts.items()}
+    word_ref = {k: [*(counts[k][w] / total[k] for w in c), 1 - sum(counts[k][w] for w in c) / total[k]] for k, c in common.items()}
+    classes = lambda w: [sum(sum(bool(re.match(p, c)) for c in x) for x in w) for p in ("[a-z]", "[A-Z]", "[0-9]", r"[#*$%&|<>]", r"(?![a-zA-Z0-9#*$%&|<>])[\x00-\x7f]", r"[^\x00-\x7f]")]
+    chars, char_ref, far = [classes(w) for w in words], {}, {}
+    for r, w, c in zip(docs, words, chars):
+        if r.lang and not base[r.doc_id, len(w), sum(map(len, w))].base_failed:
+            char_ref[r.lang] = [a + b for a, b in zip(char_ref.get(r.lang, [0] * 6), c)]
+    want = []
+    for r, w, c in zip(docs, words, chars):
+        row = base[r.doc_id, len(w), sum(map(len, w))]
+        cd = distance(shares(c), shares(char_ref[r.lang])) if r.lang in char_ref else None
+        often = Counter(w)
+        wd = distance(shares([*(often[x] for x in common[r.lang]), len(w) - sum(often[x] for x in common[r.lang])]), word_ref[r.lang]) if r.lang in common else None
+        assert (row.char_distance is None) == (cd is None) and (row.word_distance is None) == (wd is None)
+        assert cd is None or abs(row.char_distance - cd) < 1e-6
+        assert wd is None or abs(row.word_distance - wd) < 1e-6
+        want.append((r.lang, row, cd, wd))
+        if r.lang and not row.base_failed:
+            far.setdefault(r.lang, ([], []))
+            far[r.lang][0].extend([cd] if row.word_chars >= 200 else [])
+            far[r.lang][1].extend([wd] if row.n_words >= 100 else [])
+
+    def limit(x):
+        x = sorted(x)
+        a, b = (x[math.ceil(len(x) * q) - 1] for q in (0.5, 0.75))
+        return a + 8 * max(0.01, b - a)
+
+    for lang, row, cd, wd in want:
+        odd = False
+        if lang in far:
+            odd = row.word_chars >= 200 and cd > limit(far[lang][0]) or row.n_words >= 100 and wd > limit(far[lang][1])
+        assert row.kept == (not row.base_failed and not odd)
+
+
 def test_quality(docs, rows, empty):
     out = quality.quality_verdicts(docs).collect()
     got = Counter((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in out)
@@ -88,6 +140,7 @@ def test_quality(docs, rows, empty):
         lines = [x for x in s.split("\n") if re.search(SPACED, x)]
         want[(i, len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in s), len(lines) - len(set(lines)), len(cover), len(w) < 50 or 100 * len(cover) > 50 * len(w))] += 1
     assert got == want
+    check_divergence(docs.collect(), out)
     assert not any(r.kept and r.base_failed for r in out) and quality.quality_verdicts(empty).count() == 0
 
 
