@@ -73,7 +73,10 @@ _COUNT = np.dtype([("n", "<u4"), ("tail", "u1")])
 
 def training_counts(body: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Distinct words of a block with their training occurrences; END counts training texts."""
-    t = Tokens(body)
+    return counts_of(Tokens(body))
+
+
+def counts_of(t: Tokens) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(t.hash, kind="stable")
     keys = t.hash[order]
     cut = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, np.int64)
@@ -436,7 +439,7 @@ def language_model_scores(df: DataFrame, id_col: str = "doc_id", text_col: str =
         for batch in batches:
             for row in batch.to_pylist():
                 t = Tokens(row["body"])
-                keys, _ = training_counts(row["body"])
+                keys, _ = counts_of(t)
                 total = answers(row["answer"], np.int64)
                 count = t.with_ends(total[np.searchsorted(keys[1:], t.hash) + 1], total[0])
                 fed, cls, word = codes(vocab, t)
