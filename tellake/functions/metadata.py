@@ -31,9 +31,38 @@ def short_metadata(replay_id: Column, replay_title: Column, title: Column, blue:
     return F.struct(replay_id.alias("id"), F.coalesce(replay_title, title, unknown).alias("title"), F.coalesce(blue, unknown).alias("blue"), F.coalesce(orange, unknown).alias("orange"), F.coalesce(date, unknown).alias("date"), F.lit(source).alias("source"))
 
 
+#: fixed values: output name and header key of the extracted fields
+HEADER = {
+    "ballchasing_id": "Id", "replay_name": "ReplayName", "date": "Date", "map": "MapName", "match_type": "MatchType", "team_size": "TeamSize", "num_frames": "NumFrames",
+    "team_0_score": "Team0Score", "team_1_score": "Team1Score", "goals": "Goals", "highlights": "HighLights", "game_version": "BuildVersion",
+}
+
+
 def header_map(pairs: Column) -> Column:
     """Map of (key, value) pairs; the last of equal keys wins, without a session setting."""
-    return F.aggregate(pairs, F.create_map().cast("map<string,string>"), lambda m, p: F.map_concat(F.map_filter(m, lambda k, v: k != p["key"]), F.map_from_arrays(F.array(p["key"]), F.array(p["value"]))))
+    back = F.reverse(pairs)
+    return F.map_from_entries(F.filter(back, lambda p, i: F.array_position(F.transform(back, lambda x: x["key"]), p["key"]) == i + 1))
+
+
+def header_fields(df: DataFrame, keys: list[str], pairs: str) -> DataFrame:
+    """keys and the 12 header fields as strings; a missing field is NULL, missing goals and highlights are `[]`."""
+    m = df.select(*keys, header_map(F.coalesce(F.col(pairs), F.array().cast("array<struct<key:string,value:string>>"))).alias("__m"))
+
+    def field(name: str) -> Column:
+        value = F.try_element_at("__m", F.lit(HEADER[name]))
+        return (F.coalesce(value, F.lit("[]")) if name in ("goals", "highlights") else value).alias(name)
+
+    return m.select(*keys, *[field(n) for n in HEADER])
+
+
+def player_mapping(df: DataFrame, keys: list[str], team_zero: str, team_one: str) -> DataFrame:
+    """Rows (keys, slot, team, name, steam_id, stats) of players struct(name, remote_id, stats): team zero in order, then team one.
+
+    A missing name is Unknown; steam_id is NULL unless remote_id names one (steam:...).
+    """
+    out = roster(df, keys, team_zero, team_one)
+    steam = F.when(F.col("player.remote_id").startswith("steam:"), F.substr("player.remote_id", F.lit(7)))
+    return out.select(*keys, "slot", "team", F.coalesce("player.name", F.lit("Unknown")).alias("name"), steam.alias("steam_id"), F.col("player.stats").alias("stats"))
 
 
 def roster(df: DataFrame, keys: list[str], team_zero: str, team_one: str) -> DataFrame:

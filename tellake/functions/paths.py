@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 #: fixed value: characters that no path part may hold
 FORBIDDEN = '<>:"/\\|?*'
+SIDECAR = ".metadata.json"
 
 
 def sanitize(part: Column) -> Column:
@@ -34,10 +35,10 @@ def storage_key(components: Column, key: Column, extension: str = ".replay") ->
     return F.concat(F.when(F.size(components) > 0, F.concat(F.array_join(components, "/"), F.lit("/"))).otherwise(F.lit("")), key, F.lit(extension))
 
 
-def mirror_key(raw: Column, key: Column) -> Column:
-    """Key of a parsed file beside its raw one; flat by id where there is no raw key."""
+def mirror_key(raw: Column, key: Column, extension: str = ".parquet") -> Column:
+    """Key of a parsed file beside its raw one; flat by id where there is no raw key.  Side tables have SIDECAR as extension."""
     inner = F.when(raw.startswith("replays/raw/"), F.substr(raw, F.lit(13))).otherwise(raw)
-    return F.concat(F.lit("replays/parsed/"), F.when(raw.isNull(), key).otherwise(F.replace(inner, F.lit(".replay"), F.lit(""))), F.lit(".parquet"))
+    return F.concat(F.lit("replays/parsed/"), F.when(raw.isNull(), key).otherwise(F.replace(inner, F.lit(".replay"), F.lit(""))), F.lit(extension))
 
 
 def resolve(wanted: DataFrame, listing: DataFrame, key: str, candidates: list[Column], path: str = "path") -> DataFrame:
@@ -47,6 +48,25 @@ def resolve(wanted: DataFrame, listing: DataFrame, key: str, candidates: list[Co
     return found.groupBy(key).agg(F.min_by("try", "rank").alias("path"))
 
 
+def raw_candidates(key: Column, local: Column, stored_at: Column, root: str) -> list[Column]:
+    """Where a raw file may be, in order of trial: the path on record, the storage key below root, root/key.replay."""
+    base = F.lit(root.rstrip("/") + "/")
+    return [local, F.concat(base, stored_at), F.concat(base, key, F.lit(".replay"))]
+
+
+def frame_candidates(key: Column, output: Column, raw: Column, root: str) -> list[Column]:
+    """Where a parsed file may be: the output path on record, its mirrored key below root, root/key.parquet."""
+    base = F.lit(root.rstrip("/") + "/")
+    return [output, F.concat(base, mirror_key(raw, key)), F.concat(base, key, F.lit(".parquet"))]
+
+
+def storage_statistics(listing: DataFrame, prefix: str | None = None) -> DataFrame:
+    """One row (files, bytes, mb, gb) over a listing (path, length) under a prefix; zeros where there is nothing."""
+    some = listing if prefix is None else listing.filter(F.col("path").startswith(prefix))
+    total = F.coalesce(F.sum("length"), F.lit(0))
+    return some.agg(F.count("*").alias("files"), total.alias("bytes"), F.round(total / float(1024**2), 2).alias("mb"), F.round(total / float(1024**3), 2).alias("gb"))
+
+
 def tree_paths(groups: DataFrame, leaves: DataFrame) -> DataFrame:
     """Rows (leaf_id, path): names from the root to the leaf's own group.
 
@@ -55,10 +75,13 @@ def tree_paths(groups: DataFrame, leaves: DataFrame) -> DataFrame:
     """
     level = groups.filter("parent_id is null").select("id", F.array("name").alias("path"), F.array("id").alias("seen"))
     out, children = level, groups.select(F.col("id").alias("child"), "parent_id", "name")
+    from ..operators.storage import stored
+
     while True:
         below = children.join(level, (children.parent_id == level.id) & ~F.array_contains("seen", F.col("child")))
         # each level is cut off from those above, so that a deep tree is not one plan of all its joins
-        level = below.select(F.col("child").alias("id"), F.array_append("path", F.col("name")).alias("path"), F.array_append("seen", F.col("child")).alias("seen")).localCheckpoint()
+        level = below.select(F.col("child").alias("id"), F.array_append("path", F.col("name")).alias("path"), F.array_append("seen", F.col("child")).alias("seen"))
+        level = stored(level)
         if level.isEmpty():
             break
         out = out.unionByName(level)

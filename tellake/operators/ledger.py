@@ -67,6 +67,105 @@ def skip_decision(known: Column, stored: Column, size: Column) -> Column:
     return F.struct(F.when(known, "skip").when(stored, "mark").otherwise("fetch").alias("action"), F.when(~known & stored, size).alias("size"))
 
 
+def catalogue(parsed: DataFrame, status: str = "status", path: str = "output_path") -> DataFrame:
+    """Parsed rows that have an output path."""
+    return parsed.filter((F.col(status) == "parsed") & (F.col(path) != ""))
+
+
+def lookup(table: DataFrame, key: str, value) -> DataFrame:
+    """The catalogue row of one key, or none; no file is read."""
+    return table.filter(F.col(key) == F.lit(value))
+
+
+def with_status(table: DataFrame, columns: list[str], status: str, *wanted) -> DataFrame:
+    """columns of the rows in one of the wanted states."""
+    return table.filter(F.col(status).isin(*wanted)).select(*columns)
+
+
+def failed_with_source(failed: DataFrame, raw: DataFrame, key: str, raw_key: str, columns: list[str]) -> DataFrame:
+    """Keys of failed rows with columns of their raw row; NULL where that is absent."""
+    r = raw.select(F.col(raw_key).alias("__k"), *columns)
+    return failed.join(r, F.col(key) == F.col("__k"), "left").select(key, *columns)
+
+
+def inherit(parsed: DataFrame, raw: DataFrame, key: str, raw_key: str, columns: list[str], flag: Column, flag_name: str = "is_rlcs") -> DataFrame:
+    """parsed with columns of its raw row (NULL where that is absent) and a flag of it (false there)."""
+    r = raw.select(F.col(raw_key).alias("__k"), *columns, flag.alias("__flag"))
+    return parsed.join(r, F.col(key) == F.col("__k"), "left").select(*parsed.columns, *columns, F.coalesce("__flag", F.lit(False)).alias(flag_name))
+
+
+def record_failures(table: DataFrame, failures: DataFrame, key: str) -> DataFrame:
+    """Insert keys of failures (key, error) as failed, or set only status and error of known ones."""
+    return upsert(table, failures.withColumn("status", F.lit("failed")), key, ["status", "error"])
+
+
+def start_groups(groups: DataFrame, started: DataFrame, key: str, counts: list[str], completed: str = "completed_at") -> DataFrame:
+    """Insert started groups, or reset known ones: pending, counts 0, not completed; other columns stay."""
+    zero = groups.schema
+    fresh = started.select(key).distinct().withColumns({"status": F.lit("pending"), **{c: F.lit(0).cast(zero[c].dataType) for c in counts}, completed: F.lit(None).cast(zero[completed].dataType)})
+    return upsert(groups, fresh, key, ["status", *counts, completed])
+
+
+def mark_downloaded(raw: DataFrame, done: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Known rows in done become downloaded and take its columns; an error text stays.  Nothing is inserted."""
+    return replace_matched(raw, done.withColumn("is_downloaded", F.lit(1)), key, ["is_downloaded", *columns])
+
+
+def mark_failed(raw: DataFrame, failures: DataFrame, key: str) -> DataFrame:
+    """Known rows in failures take its error text; is_downloaded stays.  Nothing is inserted."""
+    return replace_matched(raw, failures, key, ["error"])
+
+
+def frame_summary(table: DataFrame, count: str) -> DataFrame:
+    """One row over non-null counts: n, mean, population std, low, high, exact median, total."""
+    return table.agg(F.count(count).alias("n"), F.avg(count).alias("mean"), F.stddev_pop(count).alias("std"), F.min(count).alias("low"), F.max(count).alias("high"), F.median(count).alias("median"), F.sum(count).alias("total"))
+
+
+def sizes(total: Column) -> list[Column]:
+    """Bytes (0 for NULL), MB and GB."""
+    return [F.coalesce(total, F.lit(0)).alias("bytes"), megabytes(total).alias("mb"), megabytes(total, 3).alias("gb")]
+
+
+def download_statistics(raw: DataFrame, downloaded: Column, failed: Column, size: str) -> DataFrame:
+    """One row (total, downloaded, failed, pending, bytes, mb, gb)."""
+    done, bad = F.count_if(downloaded), F.count_if(failed)
+    return raw.agg(F.count("*").alias("total"), done.alias("downloaded"), bad.alias("failed"), (F.count("*") - done - bad).alias("pending"), *sizes(F.sum(size)))
+
+
+def parse_statistics(parsed: DataFrame, ok: Column, frames: str, size: str) -> DataFrame:
+    """One row (entries, parsed, failed_parses, total_frames of parsed ones, parsed_bytes, parsed_mb, parsed_gb)."""
+    total = F.sum(size)
+    return parsed.agg(F.count("*").alias("entries"), F.count_if(ok).alias("parsed"), F.count_if(~ok).alias("failed_parses"), F.sum(F.when(ok, F.col(frames))).alias("total_frames"), *[c.alias(f"parsed_{n}") for c, n in zip(sizes(total), ("bytes", "mb", "gb"))])
+
+
+def full_statistics(downloads: DataFrame, parses: DataFrame) -> DataFrame:
+    """Both statistics, of one row each, as one row."""
+    return downloads.crossJoin(parses)
+
+
+def batch_result(outcomes: DataFrame, key: str, batch: list[str] | None = None) -> DataFrame:
+    """One row a batch (batch columns, total, successful, skipped, failed, frames, bytes, output_paths, errors) of outcomes (key, outcome, frames, bytes, output_path, error).
+
+    outcome is parsed, skipped or failed; output_paths are those of parsed rows, errors are
+    struct(key, error) of failed ones, both sorted.  Without batch columns all rows are one batch.
+    """
+
+    def of(kind: str) -> Column:
+        return F.col("outcome") == kind
+
+    return outcomes.groupBy(*(batch or [])).agg(
+        F.count("*").alias("total"), F.count_if(of("parsed")).alias("successful"), F.count_if(of("skipped")).alias("skipped"), F.count_if(of("failed")).alias("failed"),
+        F.coalesce(F.sum("frames"), F.lit(0)).alias("frames"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
+        F.sort_array(F.collect_list(F.when(of("parsed"), F.col("output_path")))).alias("output_paths"), F.sort_array(F.collect_list(F.when(of("failed"), F.struct(key, "error")))).alias("errors"))
+
+
+def to_visit(members: DataFrame, groups: DataFrame, key: str, status: str = "status", force: bool = False, ids: DataFrame | None = None, id_key: str | None = None) -> DataFrame:
+    """Members of groups that are not complete; all groups if forced or if only certain ids are asked for."""
+    if ids is not None:
+        return members.join(ids.select(F.col(id_key)).distinct(), id_key, "left_semi")
+    return members if force else members.join(groups.filter(F.col(status) == "complete").select(key), key, "left_anti")
+
+
 def metadata_merge(ledger: DataFrame, stored: DataFrame, sidecar: DataFrame, key: str, fields: list[str]) -> DataFrame:
     """Fields by precedence sidecar, stored, ledger; a NULL counts as missing."""
     out = ledger.select(key, *fields)
@@ -88,8 +187,9 @@ def batch_ids(ids: DataFrame, key: str, size: int = 100) -> DataFrame:
     return with_place(ids, key).withColumn("batch_id", F.floor(F.col("place") / size)).drop("place")
 
 
-def with_place(df: DataFrame, key: str, buckets: int = 64) -> DataFrame:
-    """df with place = 0-based rank by key (distinct keys): sorted ranges, counted, then offset."""
+def with_place(df: DataFrame, key: str, buckets: int | None = None) -> DataFrame:
+    """df with place = 0-based rank by key (distinct keys): sorted ranges (as many as shuffle partitions), counted, then offset."""
+    buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     ranged = df.repartitionByRange(buckets, key).withColumn("__part", F.spark_partition_id())
     from .storage import stored
 

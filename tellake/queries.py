@@ -105,9 +105,9 @@ def window_index(spark, d):
     return segments.window_index(segs(spark, d), SIZE, STRIDE)
 
 
-@query(f"WITH {SEGS} SELECT count(*) AS skipped FROM (SELECT DISTINCT user_id FROM events WHERE user_id % 2 = 0) u WHERE user_id NOT IN (SELECT user_id FROM s WHERE seg_end - seg_start >= 12)")
+@query(f"WITH {SEGS} SELECT count(*) AS skipped FROM (SELECT DISTINCT user_id FROM events) u WHERE user_id NOT IN (SELECT user_id FROM s WHERE seg_end - seg_start >= 12)")
 def windows_skipped(spark, d):
-    wanted = t(spark, d, "events").select("user_id").distinct().filter("user_id % 2 = 0")
+    wanted = t(spark, d, "events").select("user_id").distinct()
     return segments.missing_boundaries(wanted, segs(spark, d).filter("seg_end - seg_start >= 12"), "user_id").agg(F.count("*").alias("skipped"))
 
 
@@ -125,9 +125,9 @@ def window_matrix(spark, d):
     return m.select("user_id", "w_start", F.size("matrix").cast("long").alias("rows"), F.round(total, 3).alias("total"), F.concat(F.lit("["), ids, F.lit("]")).alias("ids"))
 
 
-@query(f"WITH {SEGS} SELECT * FROM s WHERE user_id % 3 = 0")
+@query(f"WITH {SEGS} SELECT * FROM s WHERE user_id NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal < 0)")
 def boundary_backfill(spark, d):
-    known = t(spark, d, "events").filter("user_id % 3 <> 0").select("user_id").distinct()
+    known = t(spark, d, "customer").filter("c_acctbal < 0").select(F.col("c_custkey").alias("user_id"))
     return segments.segment_boundaries(segments.missing_boundaries(frames(spark, d), known, "user_id"), "user_id", F.col("event_type") == "error", LEAST)
 
 
@@ -301,12 +301,13 @@ P = "p AS (SELECT l_orderkey AS parsed_key, count(*) AS frame_count, sum(l_quant
 
 @query("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority <> ''")
 def catalogue_scan(spark, d):
-    return t(spark, d, "orders").filter("o_orderstatus = 'F' and o_orderpriority <> ''").select("o_orderkey", "o_custkey")
+    status = F.when(F.col("o_orderstatus") == "F", "parsed").otherwise("failed")
+    return ledger.catalogue(t(spark, d, "orders").withColumn("status", status), "status", "o_orderpriority").select("o_orderkey", "o_custkey")
 
 
 @query("SELECT o_orderstatus, count(*) AS n FROM orders WHERE o_orderstatus IN ('F', 'P') GROUP BY 1")
 def status_filter(spark, d):
-    return t(spark, d, "orders").filter(F.col("o_orderstatus").isin("F", "P")).groupBy("o_orderstatus").agg(F.count("*").alias("n"))
+    return ledger.with_status(t(spark, d, "orders"), ["o_orderstatus"], "o_orderstatus", "F", "P").groupBy("o_orderstatus").agg(F.count("*").alias("n"))
 
 
 @query("SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")
@@ -317,14 +318,12 @@ def pending_anti(spark, d):
 @query(f"WITH {P} SELECT parsed_key, o_custkey FROM p LEFT JOIN orders ON o_orderkey = parsed_key AND o_orderstatus = 'F' WHERE frame_count < 3")
 def failed_left_join(spark, d):
     raw = t(spark, d, "orders").filter("o_orderstatus = 'F'").select("o_orderkey", "o_custkey")
-    failed = parsed_keys(spark, d).filter("frame_count < 3")
-    return failed.join(raw, failed.parsed_key == raw.o_orderkey, "left").select("parsed_key", "o_custkey")
+    return ledger.failed_with_source(parsed_keys(spark, d).filter("frame_count < 3"), raw, "parsed_key", "o_orderkey", ["o_custkey"])
 
 
 @query(f"WITH {P} SELECT parsed_key, o_orderpriority, coalesce(o_orderstatus = 'F', false) AS is_rlcs FROM p LEFT JOIN orders ON o_orderkey = parsed_key")
 def inherit_attrs(spark, d):
-    p, o = parsed_keys(spark, d), t(spark, d, "orders")
-    return p.join(o, p.parsed_key == o.o_orderkey, "left").select("parsed_key", "o_orderpriority", F.coalesce(F.col("o_orderstatus") == "F", F.lit(False)).alias("is_rlcs"))
+    return ledger.inherit(parsed_keys(spark, d).select("parsed_key"), t(spark, d, "orders"), "parsed_key", "o_orderkey", ["o_orderpriority"], F.col("o_orderstatus") == "F")
 
 
 @query("SELECT doc_id, 'old' AS origin FROM (SELECT DISTINCT doc_id FROM labels) UNION ALL SELECT doc_id, 'new' FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
@@ -361,8 +360,7 @@ def metadata_merge(spark, d):
 
 @query(f"WITH {P} SELECT count(frame_count) AS n, round(avg(frame_count), 9) AS mean, round(stddev_pop(frame_count), 9) AS std, min(frame_count) AS low, max(frame_count) AS high, median(frame_count) AS median, sum(frame_count)::BIGINT AS total FROM p")
 def frame_count_summary(spark, d):
-    c = "frame_count"
-    return parsed_keys(spark, d).agg(F.count(c).alias("n"), F.round(F.avg(c), 9).alias("mean"), F.round(F.stddev_pop(c), 9).alias("std"), F.min(c).alias("low"), F.max(c).alias("high"), F.median(c).alias("median"), F.sum(c).alias("total"))
+    return ledger.frame_summary(parsed_keys(spark, d), "frame_count").withColumns({c: F.round(c, 9) for c in ("mean", "std")})
 
 
 RAW_STATS = "SELECT count(*) AS total, count(*) FILTER (o_orderstatus = 'F') AS downloaded, count(*) FILTER (o_orderstatus = 'P') AS failed, count(*) - count(*) FILTER (o_orderstatus = 'F') - count(*) FILTER (o_orderstatus = 'P') AS pending, coalesce(sum(o_custkey), 0)::BIGINT AS bytes FROM orders"
@@ -371,19 +369,18 @@ PARSE_STATS = f"WITH {P} SELECT count(*) AS entries, count(*) FILTER (frame_coun
 
 @query(RAW_STATS)
 def raw_stats(spark, d):
-    done, bad = F.count_if(F.col("o_orderstatus") == "F"), F.count_if(F.col("o_orderstatus") == "P")
-    return t(spark, d, "orders").agg(F.count("*").alias("total"), done.alias("downloaded"), bad.alias("failed"), (F.count("*") - done - bad).alias("pending"), F.coalesce(F.sum("o_custkey"), F.lit(0)).alias("bytes"))
+    return ledger.download_statistics(t(spark, d, "orders"), F.col("o_orderstatus") == "F", F.col("o_orderstatus") == "P", "o_custkey").drop("mb", "gb")
 
 
 @query(PARSE_STATS)
 def parse_stats(spark, d):
-    ok = F.col("frame_count") >= 3
-    return parsed_keys(spark, d).agg(F.count("*").alias("entries"), F.count_if(ok).alias("parsed"), F.count_if(~ok).alias("failed_parses"), F.sum(F.when(ok, F.col("frame_count"))).alias("total_frames"))
+    stats = ledger.parse_statistics(parsed_keys(spark, d), F.col("frame_count") >= 3, "frame_count", "bytes")
+    return stats.select("entries", "parsed", "failed_parses", "total_frames")
 
 
 @query(f"SELECT * FROM ({RAW_STATS}) a, ({PARSE_STATS}) b")
 def full_stats(spark, d):
-    return raw_stats(spark, d).crossJoin(parse_stats(spark, d))  # one row each
+    return ledger.full_statistics(raw_stats(spark, d), parse_stats(spark, d))
 
 
 STATE = "SELECT o_custkey, count(*) FILTER (o_orderstatus = 'F') AS done, count(*) FILTER (o_orderstatus = 'P') AS failed, count(*) FILTER (o_orderstatus = 'O') AS skipped FROM orders GROUP BY 1"
@@ -409,6 +406,36 @@ def batch_result(spark, d):
     return parsed_keys(spark, d).agg(F.count("*").alias("total"), F.count_if(ok).alias("successful"), F.count_if(~ok).alias("failed"), F.sum("frame_count").alias("frames"), F.round(F.sum("bytes"), 2).alias("bytes"))
 
 
+OUTCOME = "CASE o_orderstatus WHEN 'F' THEN 'parsed' WHEN 'O' THEN 'skipped' ELSE 'failed' END"
+
+
+@query(f"SELECT o_orderdate, count(*) AS total, count(*) FILTER (o = 'parsed') AS successful, count(*) FILTER (o = 'skipped') AS skipped, count(*) FILTER (o = 'failed') AS failed, coalesce(sum(CASE WHEN o = 'parsed' THEN o_custkey END), 0)::BIGINT AS frames, coalesce(sum(o_custkey), 0)::BIGINT AS bytes, coalesce(string_agg(CASE WHEN o = 'parsed' THEN 'out/' || o_orderkey END, ',' ORDER BY 'out/' || o_orderkey), '') AS output_paths, coalesce(string_agg(CASE WHEN o = 'failed' THEN o_orderkey || ':' || o_orderpriority END, ',' ORDER BY o_orderkey), '') AS errors FROM (SELECT *, {OUTCOME} AS o FROM orders) GROUP BY 1")
+def batch_report(spark, d):
+    kind = F.when(F.col("o_orderstatus") == "F", "parsed").when(F.col("o_orderstatus") == "O", "skipped").otherwise("failed")
+    rows = t(spark, d, "orders").select("o_orderdate", "o_orderkey", kind.alias("outcome"), F.when(kind == "parsed", F.col("o_custkey")).alias("frames"), F.col("o_custkey").alias("bytes"), F.concat(F.lit("out/"), "o_orderkey").alias("output_path"), F.col("o_orderpriority").alias("error"))
+    out = ledger.batch_result(rows, "o_orderkey", ["o_orderdate"])
+    return out.withColumns({"output_paths": F.array_join("output_paths", ","), "errors": F.array_join(F.transform("errors", lambda e: F.concat(e["o_orderkey"].cast("string"), F.lit(":"), e["error"])), ",")})
+
+
+@query("SELECT count(*) AS total, coalesce(sum(o_custkey), 0)::BIGINT AS bytes, round(sum(o_custkey) / 1048576.0::DOUBLE, 2) AS mb, round(sum(o_custkey) / 1073741824.0::DOUBLE, 2) AS gb FROM orders")
+def download_sizes(spark, d):
+    return ledger.download_statistics(t(spark, d, "orders"), F.col("o_orderstatus") == "F", F.col("o_orderstatus") == "P", "o_custkey").select("total", "bytes", "mb", "gb")
+
+
+@query("SELECT count(*) AS files, sum(octet_length(encode(html)))::BIGINT AS bytes, round(sum(octet_length(encode(html))) / 1048576.0::DOUBLE, 2) AS mb, round(sum(octet_length(encode(html))) / 1073741824.0::DOUBLE, 2) AS gb FROM pages WHERE url LIKE 'http%'")
+def prefix_stats(spark, d):
+    return paths.storage_statistics(t(spark, d, "pages").select(F.col("url").alias("path"), F.octet_length("html").cast("long").alias("length")), "http")
+
+
+@query("SELECT doc_id, 'key ' || doc_id AS ballchasing_id, source AS map, lang AS match_type, n_chars::VARCHAR AS team_size, NULL::VARCHAR AS date, CASE WHEN n_chars > 1000 THEN '[1]' ELSE '[]' END AS goals, '[]' AS highlights FROM documents")
+def header_fields(spark, d):
+    pairs = [("Id", F.concat(F.lit("key "), "doc_id")), ("MapName", F.lit("first")), ("MatchType", F.col("lang")), ("TeamSize", F.col("n_chars").cast("string")), ("MapName", F.col("source"))]
+    listed = F.array(*[F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in pairs])
+    goals = F.when(F.col("n_chars") > 1000, F.array(F.struct(F.lit("Goals").alias("key"), F.lit("[1]").alias("value")))).otherwise(F.array().cast("array<struct<key:string,value:string>>"))
+    out = metadata.header_fields(t(spark, d, "documents").withColumn("pairs", F.concat(listed, goals)), ["doc_id"], "pairs")
+    return out.select("doc_id", "ballchasing_id", "map", "match_type", "team_size", "date", "goals", "highlights")
+
+
 @query("SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate = (SELECT max(o_orderdate) FROM orders)")
 def latest_snapshot(spark, d):
     return ledger.latest_snapshot(t(spark, d, "orders").select("o_orderkey", "o_orderdate"), "o_orderdate")
@@ -428,8 +455,7 @@ def skip_decision(spark, d):
 
 @query("SELECT o_custkey, o_orderkey FROM orders WHERE o_custkey NOT IN (SELECT o_custkey FROM orders GROUP BY 1 HAVING count(*) FILTER (o_orderstatus = 'P') = 0)")
 def group_early_exit(spark, d):
-    complete = states(spark, d).filter("failed = 0")
-    return t(spark, d, "orders").join(complete, "o_custkey", "left_anti").select("o_custkey", "o_orderkey")
+    return ledger.to_visit(t(spark, d, "orders"), group_status(spark, d), "o_custkey").select("o_custkey", "o_orderkey")
 
 
 @query("SELECT o_orderkey, o_custkey, NULL::BIGINT AS duration FROM orders")

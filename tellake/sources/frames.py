@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,9 +59,33 @@ def write_sidecar(metadata: DataFrame, path: str) -> None:
     metadata.write.mode("overwrite").json(path)
 
 
-def read_sidecar(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """JSON side tables; broken lines become NULL rows and are dropped."""
-    return spark.read.schema(schema).json(path).dropna("all")
+def read_sidecar(spark: SparkSession, path: str, schema: str, lines: bool = False) -> DataFrame:
+    """JSON side tables, one record a file, indented or not (lines: one record a line, as write_sidecar writes); broken records are dropped."""
+    return spark.read.schema(schema).option("multiLine", not lines).json(path).dropna("all")
+
+
+def load_one(spark: SparkSession, table: DataFrame, key: str, value, path: str = "output_path") -> DataFrame | None:
+    """Frames of one catalogued series with its key, or None if the key is unknown or its file cannot be found."""
+    row = table.filter(F.col(key) == F.lit(value)).select(path).first()
+    if row is None or not row[0]:
+        return None
+    try:
+        return spark.read.parquet(row[0]).withColumn(key, F.lit(value))
+    except AnalysisException:
+        return None
+
+
+def write_tree(tree: DataFrame, path: str) -> None:
+    """A group tree, rows (id, parent_id, name), as JSON lines below path."""
+    tree.write.mode("overwrite").json(path)
+
+
+def read_tree(spark: SparkSession, path: str) -> DataFrame | None:
+    """A tree from write_tree, or None where there is none."""
+    try:
+        return spark.read.schema("id string, parent_id string, name string").json(path)
+    except AnalysisException:
+        return None
 
 
 def write_snapshot(table: DataFrame, path: str, stamp: str) -> None:
