@@ -85,8 +85,8 @@ FROM t LEFT JOIN c USING (w) CROSS JOIN n GROUP BY doc_id
 
 SUBSTRINGS = rf"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{WORD}') AS words FROM documents),
-w AS (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS i FROM d WHERE len(words) >= 20),
-g AS (SELECT doc_id, i, row_number() OVER (PARTITION BY array_to_string(list_slice(words, i, i + 19), ' ') ORDER BY doc_id, i) AS k FROM w),
+w AS (SELECT doc_id, unnest(range(1, len(words) - 18)) AS i, unnest(list_transform(range(1, len(words) - 18), lambda j: array_to_string(list_slice(words, j, j + 19), ' '))) AS x FROM d WHERE len(words) >= 20),
+g AS (SELECT doc_id, i, row_number() OVER (PARTITION BY x ORDER BY doc_id, i) AS k FROM w),
 gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS p FROM g WHERE k > 1),
 every AS (SELECT doc_id, unnest(words) AS x, unnest(range(1, len(words) + 1)) AS p FROM d),
 kept AS (SELECT e.doc_id, count(gone.p) AS n_removed, string_agg(x, ' ' ORDER BY e.p) FILTER (gone.p IS NULL) AS text
