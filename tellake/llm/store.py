@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _own: dict[str, str] = {}
+CLEAN_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -26,11 +27,20 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df as Parquet under the shared folder and return a DataFrame that reads it.
 
     Survives lost executors (the files are outside them) and fixes row identities
-    that a recomputation could otherwise change.
+    that a recomputation could otherwise change.  The shuffle files of the write are
+    removed when it ends, as nothing reads them again.
     """
     spark = df.sparkSession
     path = f"{shared_root(spark)}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEAN_SHUFFLES, None)
+    spark.conf.set(CLEAN_SHUFFLES, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEAN_SHUFFLES)
+        else:
+            spark.conf.set(CLEAN_SHUFFLES, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
     return out
