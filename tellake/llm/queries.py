@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 
 from . import oracles
+from .byte_bpe import round_trip
 from .decontaminate import contamination_digest
 from .jaccard_join import jaccard_components
 from .language_id import language_of
@@ -64,6 +65,12 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_digest(table(spark, sf_dir, "documents"), "doc_id", "text", length=20, start=10)
 
 
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op1_mixing_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The columns of op1 that SQL can express; the target in whole words."""
     return op1_mixing(spark, sf_dir).select("doc_id", "size", "source_size", F.round("target").cast("long").alias("target"))
@@ -80,7 +87,7 @@ def op7_language_model_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    named = {f.__name__: f for f in (op1_mixing, op2_quality_rules, op3_token_packing, op4_language_id, op5_ngram_jaccard_join, op6_decontamination, op7_language_model, op8_fuzzy_line_dedup, op9_license_scan, op10_substring_dedup, op1_mixing_base, op2_quality_rules_base, op7_language_model_base)}
+    named = {f.__name__: f for f in (op1_mixing, op2_quality_rules, op3_token_packing, op4_language_id, op5_ngram_jaccard_join, op6_decontamination, op7_language_model, op8_fuzzy_line_dedup, op9_license_scan, op10_substring_dedup, op12_byte_bpe, op1_mixing_base, op2_quality_rules_base, op7_language_model_base)}
     return {"pipeline": corpus_pipeline.run, **named}
 
 
