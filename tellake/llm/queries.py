@@ -19,6 +19,7 @@ from .mixing import mix_plan
 from .packing import pack_documents
 from .quality import quality_verdicts
 from .substring_dedup import substring_digest
+from .whitening import whiten
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,6 +72,10 @@ def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", most=32)
+
+
 def op1_mixing_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The columns of op1 that SQL can express; the target in whole words."""
     return op1_mixing(spark, sf_dir).select("doc_id", "size", "source_size", F.round("target").cast("long").alias("target"))
@@ -87,7 +92,7 @@ def op7_language_model_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    named = {f.__name__: f for f in (op1_mixing, op2_quality_rules, op3_token_packing, op4_language_id, op5_ngram_jaccard_join, op6_decontamination, op7_language_model, op8_fuzzy_line_dedup, op9_license_scan, op10_substring_dedup, op12_byte_bpe, op1_mixing_base, op2_quality_rules_base, op7_language_model_base)}
+    named = {f.__name__: f for f in (op1_mixing, op2_quality_rules, op3_token_packing, op4_language_id, op5_ngram_jaccard_join, op6_decontamination, op7_language_model, op8_fuzzy_line_dedup, op9_license_scan, op10_substring_dedup, op12_byte_bpe, op13_whitening, op1_mixing_base, op2_quality_rules_base, op7_language_model_base)}
     return {"pipeline": corpus_pipeline.run, **named}
 
 
