@@ -94,3 +94,17 @@ kept AS (SELECT e.doc_id, count(gone.p) AS n_removed, string_agg(x, ' ' ORDER BY
 SELECT d.doc_id, cast(len(words) AS BIGINT) AS n_words, cast(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)
 """
+
+PREFIX_TRIE = rf"""
+WITH o AS (SELECT conv_id, list(struct_pack(role := coalesce(role, ''), text := coalesce(text, '')) ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS own FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (SELECT conv_id, own, {crc32("conv_id")} % 4 AS h FROM o),
+r AS (SELECT a.conv_id, list_concat(coalesce(list_slice(b.own, 1, a.h), []), list_slice(a.own, a.h + 1, len(a.own))) AS s FROM h a LEFT JOIN o b ON b.conv_id = a.conv_id - a.conv_id % 20),
+p AS (SELECT conv_id, list_slice(s, 1, d) AS key, d, d = len(s) AS ends FROM (SELECT *, unnest(range(0, len(s) + 1)) AS d FROM r)),
+n AS (SELECT key, d, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(string_agg(cast(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '') AS ends,
+             coalesce(len(regexp_extract_all(key[d].text, '{WORD}')), 0) AS words FROM p GROUP BY key, d),
+c AS (SELECT list_slice(key, 1, d - 1) AS key, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1),
+m AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN c ON c.key = n.key),
+u AS (SELECT list_slice(key, 1, k) AS key, sum(cast(n_children = 0 AS BIGINT)) AS n_leaves, sum((n_convs - 1) * words) AS saved FROM (SELECT *, unnest(range(0, d + 1)) AS k FROM m) GROUP BY 1)
+SELECT m.conv_id, m.d AS depth, q.conv_id AS parent_conv_id, m.n_convs, m.n_children, cast(n_leaves AS BIGINT) AS n_leaves, cast(saved AS BIGINT) AS saved_tokens, sha256(m.ends) AS ends_sha256
+FROM m JOIN u ON u.key = m.key LEFT JOIN n q ON m.d > 0 AND q.key = list_slice(m.key, 1, m.d - 1)
+"""

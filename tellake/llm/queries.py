@@ -17,6 +17,7 @@ from .license_scan import scan_licenses
 from .line_dedup import fuzzy_line_dedup
 from .mixing import mix_plan
 from .packing import pack_documents
+from .prefix_trie import prefix_trie
 from .quality import quality_verdicts
 from .substring_dedup import substring_digest
 from .whitening import whiten
@@ -66,6 +67,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_digest(table(spark, sf_dir, "documents"), "doc_id", "text", length=20, start=10)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text")
+
+
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -92,7 +97,7 @@ def op7_language_model_base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    named = {f.__name__: f for f in (op1_mixing, op2_quality_rules, op3_token_packing, op4_language_id, op5_ngram_jaccard_join, op6_decontamination, op7_language_model, op8_fuzzy_line_dedup, op9_license_scan, op10_substring_dedup, op12_byte_bpe, op13_whitening, op1_mixing_base, op2_quality_rules_base, op7_language_model_base)}
+    named = {f.__name__: f for f in (op1_mixing, op2_quality_rules, op3_token_packing, op4_language_id, op5_ngram_jaccard_join, op6_decontamination, op7_language_model, op8_fuzzy_line_dedup, op9_license_scan, op10_substring_dedup, op11_prefix_trie, op12_byte_bpe, op13_whitening, op1_mixing_base, op2_quality_rules_base, op7_language_model_base)}
     return {"pipeline": corpus_pipeline.run, **named}
 
 
@@ -104,4 +109,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_decontamination": oracles.CONTAMINATION,
         "op7_language_model_base": oracles.LANGUAGE_MODEL_BASE,
         "op10_substring_dedup": oracles.SUBSTRINGS,
+        "op11_prefix_trie": oracles.PREFIX_TRIE,
     }
