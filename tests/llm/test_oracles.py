@@ -16,7 +16,7 @@ def test_query_equals_sql(spark, name):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{D}/{t}.parquet'")
     want = con.sql(queries.oracle_sql()[name]).df()
     got = queries.queries()[name](spark, D).toPandas()
-    got = got.astype({c: 'float64' for c, t in got.dtypes.items() if str(t) == 'Int64'})  # as DuckDB gives integers with NULLs
+    want, got = (x.astype({c: 'float64' for c, t in x.dtypes.items() if str(t) == 'Int64'}) for x in (want, got))  # integers with NULLs
     columns = sorted(want.columns)
     assert columns == sorted(got.columns) and [str(t) for t in want[columns].dtypes] == [str(t) for t in got[columns].dtypes]
     a, b = (x[columns].sort_values("doc_id" if "doc_id" in columns else columns).reset_index(drop=True) for x in (want, got))
