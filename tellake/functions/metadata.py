@@ -56,19 +56,19 @@ def header_fields(df: DataFrame, keys: list[str], pairs: str) -> DataFrame:
 
 
 def player_mapping(df: DataFrame, keys: list[str], team_zero: str, team_one: str) -> DataFrame:
-    """Rows (keys, slot, team, name, steam_id, stats) of players struct(name, remote_id, stats): team zero in order, then team one.
+    """Rows (keys, slot, team, name, steam_id, stats) of players struct(name, remote_id map, stats map): team zero in order, then team one.
 
-    A missing name is Unknown; steam_id is NULL unless remote_id names one (steam:...).
+    A missing name stays NULL; steam_id is the entry `Steam` of remote_id, NULL where there is none; missing stats are an empty map.
     """
     out = roster(df, keys, team_zero, team_one)
-    steam = F.when(F.col("player.remote_id").startswith("steam:"), F.substr("player.remote_id", F.lit(7)))
-    return out.select(*keys, "slot", "team", F.coalesce("player.name", F.lit("Unknown")).alias("name"), steam.alias("steam_id"), F.col("player.stats").alias("stats"))
+    stats = F.col("player.stats")
+    kind = next(f.dataType for f in df.schema[team_zero].dataType.elementType.fields if f.name == "stats")
+    return out.select(*keys, "slot", "team", F.col("player.name").alias("name"), F.try_element_at("player.remote_id", F.lit("Steam")).alias("steam_id"), F.coalesce(stats, F.create_map().cast(kind)).alias("stats"))
 
 
 def roster(df: DataFrame, keys: list[str], team_zero: str, team_one: str) -> DataFrame:
     """Rows (keys, slot, team, player): team zero in order, then team one; missing lists are empty."""
 
-
     def tagged(column: str, team: int) -> Column:
         return F.transform(F.coalesce(F.col(column), F.array()), lambda p: F.struct(F.lit(team).alias("team"), p.alias("player")))
 

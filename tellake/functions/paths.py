@@ -41,23 +41,90 @@ def mirror_key(raw: Column, key: Column, extension: str = ".parquet") -> Column:
     return F.concat(F.lit("replays/parsed/"), F.when(raw.isNull(), key).otherwise(F.replace(inner, F.lit(".replay"), F.lit(""))), F.lit(extension))
 
 
+def plain(path: Column) -> Column:
+    """One spelling of local paths: file:/a, file:///a and /a are the same file; other schemes stay."""
+    return F.regexp_replace(path, "^file:/+", "/")
+
+
+def below(root: str, path: Column) -> Column:
+    """path below root; an absolute path or one with a scheme stays as it is."""
+    return F.when(path.rlike("^(/|[A-Za-z][A-Za-z0-9+.-]*:/)"), path).otherwise(F.concat(F.lit(root.rstrip("/") + "/"), path))
+
+
+def file_name(path: Column) -> Column:
+    return F.element_at(F.split(path, "/"), -1)
+
+
 def resolve(wanted: DataFrame, listing: DataFrame, key: str, candidates: list[Column], path: str = "path") -> DataFrame:
     """Rows (key, path): the first candidate that the listing has; keys without one are dropped."""
-    tries = wanted.select(key, F.posexplode(F.array(*candidates)).alias("rank", "try"))
-    found = tries.join(listing.select(F.col(path).alias("try")).distinct(), "try")
-    return found.groupBy(key).agg(F.min_by("try", "rank").alias("path"))
+    return locate(wanted, listing, key, candidates, path=path).filter("path is not null").select(key, "path")
+
+
+def locate(wanted: DataFrame, listing: DataFrame, key: str, candidates: list[Column], anywhere: Column | None = None, otherwise: Column | None = None, path: str = "path") -> DataFrame:
+    """Rows (key, path, rule), one a row of wanted: where its file is, and by which rule it was found.
+
+    Rules in order: the candidates (rule 0, 1, ...; NULL ones are passed over) that the listing has; then any
+    listed file of the name `anywhere`, whatever its folder (rule `anywhere`; the first path of equal names);
+    then `otherwise`, unchecked, such as an address in a store that is not listed (rule `otherwise`).  A miss has
+    NULL path and rule.  Two equi-joins with the listing, indexed by path and by name; one row a path and name,
+    so equal names do not multiply rows.  Rows of wanted with equal keys are the same file; keys are not NULL.
+    """
+    listed = listing.select(plain(F.col(path)).alias("__path")).filter("__path is not null").distinct()
+    tries = [F.struct(F.lit(k).alias("rank"), plain(c).alias("try")) for k, c in enumerate(candidates)]
+    name, last = (F.lit(None).cast("string") if c is None else c for c in (anywhere, otherwise))
+    asked = wanted.select(F.col(key), F.array(*tries).alias("__tries"), name.alias("__name"), last.alias("__last")).dropDuplicates([key])
+    each = asked.select(key, F.explode("__tries").alias("t")).filter("t.try is not null").select(key, "t.rank", F.col("t.try").alias("__path"))
+    exact = each.join(listed, "__path").groupBy(key).agg(F.min(F.struct("rank", "__path")).alias("__exact"))
+    out = asked.join(exact, key, "left")
+    if anywhere is not None:
+        names = listed.groupBy(file_name(F.col("__path")).alias("__name")).agg(F.min("__path").alias("__any"))
+        out = out.join(names, "__name", "left")
+    else:
+        out = out.withColumn("__any", F.lit(None).cast("string"))
+    rule = F.when(F.col("__exact").isNotNull(), F.col("__exact.rank").cast("string")).when(F.col("__any").isNotNull(), "anywhere").when(F.col("__last").isNotNull(), "otherwise")
+    return out.select(key, F.coalesce("__exact.__path", "__any", "__last").alias("path"), rule.alias("rule"))
+
+
+def dataset_candidates(key: Column, output: Column, data_dir: str | None = None, cache_dir: str | None = None) -> list[Column]:
+    """A parsed file for loading: the cache, an absolute path on record, else that path and then its name below data_dir."""
+    absolute = output.startswith("/")
+    out = [] if cache_dir is None else [F.concat(F.lit(cache_dir.rstrip("/") + "/"), key, F.lit(".parquet"))]
+    out.append(F.when(absolute, output))
+    return out if data_dir is None else [*out, F.when(~absolute, below(data_dir, output)), F.when(~absolute, below(data_dir, file_name(output)))]
+
+
+def raw_candidates(key: Column, stored_at: Column, root: str) -> list[Column]:
+    """A raw file: its storage key, then key.replay, below root; locate() then looks for key.replay in any folder."""
+    return [below(root, F.nullif(stored_at, F.lit(""))), below(root, F.concat(key, F.lit(".replay")))]
+
+
+def backfill_candidates(key: Column, output: Column, data_dir: str | None = None) -> list[Column]:
+    """A parsed file for the backfill: an absolute path on record, then that path, its name and key.parquet below data_dir."""
+    out = [F.when(output.startswith("/"), output)]
+    return out if data_dir is None else [*out, below(data_dir, output), below(data_dir, file_name(output)), below(data_dir, F.concat(key, F.lit(".parquet")))]
+
+
+def store_address(bucket: str, output: Column) -> Column:
+    """Address of a stored path in an object store, the last resort of the loading and backfill rules."""
+    return F.concat(F.lit(f"s3://{bucket}/"), output)
+
+
+def locate_parsed(wanted: DataFrame, listing: DataFrame, key: str, output: str, data_dir: str | None = None, cache_dir: str | None = None, bucket: str | None = None) -> DataFrame:
+    """locate() by the loading rules."""
+    k, o = F.col(key).cast("string"), F.col(output)
+    return locate(wanted, listing, key, dataset_candidates(k, o, data_dir, cache_dir), otherwise=None if bucket is None else store_address(bucket, o))
 
 
-def raw_candidates(key: Column, local: Column, stored_at: Column, root: str) -> list[Column]:
-    """Where a raw file may be, in order of trial: the path on record, the storage key below root, root/key.replay."""
-    base = F.lit(root.rstrip("/") + "/")
-    return [local, F.concat(base, stored_at), F.concat(base, key, F.lit(".replay"))]
+def locate_raw(wanted: DataFrame, listing: DataFrame, key: str, stored_at: str, root: str) -> DataFrame:
+    """locate() by the rules for raw files; listing is of root and all folders below."""
+    k = F.col(key).cast("string")
+    return locate(wanted, listing, key, raw_candidates(k, F.col(stored_at), root), anywhere=F.concat(k, F.lit(".replay")))
 
 
-def frame_candidates(key: Column, output: Column, raw: Column, root: str) -> list[Column]:
-    """Where a parsed file may be: the output path on record, its mirrored key below root, root/key.parquet."""
-    base = F.lit(root.rstrip("/") + "/")
-    return [output, F.concat(base, mirror_key(raw, key)), F.concat(base, key, F.lit(".parquet"))]
+def locate_for_backfill(wanted: DataFrame, listing: DataFrame, key: str, output: str, data_dir: str | None = None, bucket: str | None = None) -> DataFrame:
+    """locate() by the backfill's rules."""
+    k, o = F.col(key).cast("string"), F.col(output)
+    return locate(wanted, listing, key, backfill_candidates(k, o, data_dir), otherwise=None if bucket is None else store_address(bucket, o))
 
 
 def storage_statistics(listing: DataFrame, prefix: str | None = None) -> DataFrame:

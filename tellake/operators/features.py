@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from ..plans import registry
 
@@ -99,3 +100,47 @@ def forward(x: Column, y: Column, z: Column, w: Column) -> Column:
         return 2 * v / n
 
     return F.when(n > 0, F.struct(over(x * y - z * w).alias("x"), (1 - over(x * x + z * z)).alias("y"), over(y * z + x * w).alias("z")))
+
+
+def float32(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """df with columns (all numeric ones if None) as 32-bit floats, in their order."""
+    numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)} if columns is None else set(columns)
+    return df.select(*[F.col(f"`{c}`").cast("float").alias(c) if c in numeric else F.col(f"`{c}`") for c in df.columns])
+
+
+def entity_frames(df: DataFrame, keys: list[str], players: str, values: str = "values", preset: str = "standard", **flags: bool) -> DataFrame:
+    """Long layout of positional arrays: rows (keys, entity, slot, global columns, entity columns), one for the ball and one a player.
+
+    entity is `ball` (slot -1) or `p0`, `p1`, ...; entity columns are the names without prefix that the ball or a
+    player has, NULL where the entity lacks it.  The place of a value is (globals + slot * columns of a player + place
+    within the player), so one plan serves any number of players: the column `players` says how many.
+    Of repeated names the first place counts, as in deduplicate; a short array gives NULL; no or NULL players: ball only.
+    """
+    shared, own = (registry.PARSE_PRESETS[preset][k] for k in (0, 1))
+    g = registry.raw_columns(shared, [], 0)
+    p = [c for group in own for c in registry.PLAYER_GROUPS[group]]
+    ball = {n.removeprefix(registry.BALL): at for at, n in registry.kept_positions(g, **flags) if n.startswith(registry.BALL)}
+    common = {n: at for at, n in registry.kept_positions(g, **flags) if not n.startswith(registry.BALL)}
+    player = {n: at for at, n in registry.kept_positions(p, **flags)}
+    last = F.greatest(F.coalesce(F.col(players), F.lit(0)), F.lit(0)).cast("int") - 1
+    rows = df.select(*keys, F.col(values).alias("__values"), F.explode(F.sequence(F.lit(-1), last)).alias("slot"))
+
+    def value(at: Column | int) -> Column:
+        return F.try_element_at("__values", (at if isinstance(at, Column) else F.lit(at)) + 1)
+
+    def of_entity(name: str) -> Column:
+        out = F.when(F.col("slot") < 0, value(ball[name])) if name in ball else F.when(F.lit(False), value(0))
+        return (out.when(F.col("slot") >= 0, value(len(g) + F.col("slot") * len(p) + player[name])) if name in player else out).alias(name)
+
+    names = list(dict.fromkeys([*ball, *player]))
+    return rows.select(*keys, F.when(F.col("slot") < 0, "ball").otherwise(F.concat(F.lit("p"), F.col("slot"))).alias("entity"), "slot", *[value(at).alias(n) for n, at in common.items()], *map(of_entity, names))
+
+
+def entity_poses(long: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows (keys, entity, slot, position, forward) of a long layout: struct(x, y, z) each, NULL where a part is missing; the ball has no forward vector."""
+    x, y, z = (F.col(f"`position {a}`") for a in "xyz")
+    turn = [F.col(f"`quaternion {a}`") for a in "xyzw"]
+    whole = F.lit(True)
+    for q in turn:
+        whole = whole & q.isNotNull() & ~F.isnan(q)
+    return long.select(*keys, "entity", "slot", entity_position(x, y, z).alias("position"), F.when((F.col("slot") >= 0) & whole, forward(*turn)).alias("forward"))

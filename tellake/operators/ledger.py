@@ -16,9 +16,25 @@ def limited(df: DataFrame, key: str, n: int | None) -> DataFrame:
     return df.orderBy(key).limit(n) if n else df
 
 
+def keep_ids(df: DataFrame, ids: DataFrame, key: str, id_key: str | None = None) -> DataFrame:
+    """Rows of df whose key is among ids (column id_key, else key); unknown and repeated ids change nothing."""
+    return df.join(ids.select(F.col(id_key or key).alias(key)), key, "left_semi")
+
+
+def in_given_order(df: DataFrame, ids: DataFrame, key: str, place: str) -> DataFrame:
+    """Rows of df whose key is among ids (key, place) with that place, for reading them in the given order; unknown ids give no row."""
+    return df.join(ids.groupBy(key).agg(F.min(place).alias(place)), key)
+
+
+def first_seen(table: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """One row a key of new (any of repeated ones) with is_new: whether table lacks the key."""
+    known = table.select(F.col(key).alias("__k")).distinct().withColumn("__known", F.lit(True))
+    return new.dropDuplicates([key]).join(known, F.col(key) == F.col("__k"), "left").withColumn("is_new", F.col("__known").isNull()).drop("__k", "__known")
+
+
 def insert_if_absent(table: DataFrame, new: DataFrame, key: str) -> DataFrame:
-    """table and those rows of new whose key it lacks (one a key, the others ignored)."""
-    return table.unionByName(new.dropDuplicates([key]).join(table.select(key), key, "left_anti"))
+    """table and those rows of new whose key it lacks (one a key, the others ignored); first_seen tells which they are."""
+    return table.unionByName(first_seen(table, new, key).filter("is_new").drop("is_new"))
 
 
 def upsert(table: DataFrame, new: DataFrame, key: str, overwrite: list[str]) -> DataFrame:
@@ -40,6 +56,31 @@ def fold_events(events: DataFrame, key: str, seq: str, kind: str, fields: list[s
     return last.select(key, F.col(f"last.{kind}").alias("status"), F.when(F.col(f"last.{kind}") != "parsed", F.col("last.error")).alias("error"), *[F.col(f"ok.{f}").alias(f) for f in fields])
 
 
+def fold_ledger(events: DataFrame, key: str, seq: str, kind: str, success: list[str], error: str = "error_message", first: str = "raw_replay_id", boundary: str = "segment_boundaries") -> DataFrame:
+    """The parsed-files table that a log of updates gives: rows (key, first, success columns, parse_status, error, boundary).
+
+    kind is `parsed`, `failed` or `boundary`; seq orders the events of a key and does not repeat in it.
+    Each column has its own rule of carrying:
+    - parse_status and error are of the last parsed or failed event (parsed clears the error);
+    - the success columns are of the last parsed event together, NULLs included;
+    - first is of the event that inserted the row, the first parsed or failed one, and is never updated;
+    - boundary is of the last boundary event, if the row was there by then: an update inserts nothing.
+    Other kinds and keys with boundary events alone give no row.  One aggregation, combined map-side.
+    """
+    k = F.col(kind)
+    inserts, good, cut = k.isin("parsed", "failed"), k == "parsed", k == "boundary"
+
+    def last(of: Column, *columns: str) -> Column:
+        return F.max(F.when(of, F.struct(F.col(seq).alias("at"), *[F.col(c).alias(c) for c in columns])))
+
+    folded = events.groupBy(key).agg(
+        F.min(F.when(inserts, F.struct(F.col(seq).alias("at"), F.col(first).alias("first")))).alias("born"), last(inserts, kind, error).alias("state"), last(good, *success).alias("ok"), last(cut, boundary).alias("cut"))
+    state = F.col(f"state.{kind}")
+    return folded.filter("born is not null").select(
+        key, F.col("born.first").alias(first), *[F.col(f"ok.{c}").alias(c) for c in success], state.alias("parse_status"), F.when(state == "failed", F.col(f"state.{error}")).alias(error),
+        F.when(F.col("cut.at") > F.col("born.at"), F.col(f"cut.{boundary}")).alias(boundary))
+
+
 def replace_matched(table: DataFrame, updates: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """Update columns of rows whose key is in updates; insert nothing."""
     n = updates.select(key, *[F.col(c).alias(f"__{c}") for c in columns]).withColumn("__hit", F.lit(True))
@@ -106,14 +147,29 @@ def start_groups(groups: DataFrame, started: DataFrame, key: str, counts: list[s
     return upsert(groups, fresh, key, ["status", *counts, completed])
 
 
-def mark_downloaded(raw: DataFrame, done: DataFrame, key: str, columns: list[str]) -> DataFrame:
-    """Known rows in done become downloaded and take its columns; an error text stays.  Nothing is inserted."""
-    return replace_matched(raw, done.withColumn("is_downloaded", F.lit(1)), key, ["is_downloaded", *columns])
+def mark_downloaded(raw: DataFrame, done: DataFrame, key: str, columns: list[str], status: str = "download_status") -> DataFrame:
+    """Known rows in done become downloaded, in flag and status, and take its columns; an error text stays.  Nothing is inserted."""
+    return replace_matched(raw, done.withColumns({"is_downloaded": F.lit(True).cast(raw.schema["is_downloaded"].dataType), status: F.lit("downloaded")}), key, ["is_downloaded", status, *columns])
+
 
+def mark_failed(raw: DataFrame, failures: DataFrame, key: str, status: str = "download_status", error: str = "error_message") -> DataFrame:
+    """Known rows in failures (key, error) become failed and take its error text; is_downloaded stays.  Nothing is inserted."""
+    return replace_matched(raw, failures.withColumn(status, F.lit("failed")), key, [status, error])
 
-def mark_failed(raw: DataFrame, failures: DataFrame, key: str) -> DataFrame:
-    """Known rows in failures take its error text; is_downloaded stays.  Nothing is inserted."""
-    return replace_matched(raw, failures, key, ["error"])
+
+def unfilled(raw: DataFrame, key: str, missing: str = "duration", order: str = "downloaded_at") -> DataFrame:
+    """Rows (key, order) that a backfill has to fetch: downloaded and without `missing`, in order of `order` (NULL first, then by key)."""
+    return raw.filter(F.col("is_downloaded").cast("boolean") & F.col(missing).isNull()).select(key, order).orderBy(F.asc_nulls_first(order), key)
+
+
+#: fixed values: columns of a raw row that a backfill takes from the fetched record
+FETCHED = ("duration", "overtime", "overtime_seconds", "map_code", "map_name", "match_type", "team_size", "season", "season_type", "blue_goals", "orange_goals", "min_rank_division", "max_rank_division", "uploader_name", "uploader_steam_id")
+
+
+def backfill(raw: DataFrame, fetched: DataFrame, key: str, columns: tuple[str, ...] = FETCHED) -> DataFrame:
+    """raw with the columns of fetched (flat records) where a chosen row was fetched, NULLs included; other rows stay."""
+    chosen = keep_ids(fetched, unfilled(raw, key, columns[0]), key)
+    return replace_matched(raw, chosen, key, list(columns))
 
 
 def frame_summary(table: DataFrame, count: str) -> DataFrame:
@@ -143,20 +199,30 @@ def full_statistics(downloads: DataFrame, parses: DataFrame) -> DataFrame:
     return downloads.crossJoin(parses)
 
 
-def batch_result(outcomes: DataFrame, key: str, batch: list[str] | None = None) -> DataFrame:
-    """One row a batch (batch columns, total, successful, skipped, failed, frames, bytes, output_paths, errors) of outcomes (key, outcome, frames, bytes, output_path, error).
+def batch_result(outcomes: DataFrame, batch: list[str] | None = None) -> DataFrame:
+    """One row a batch (batch columns, total, successful, skipped, failed, frames, bytes) of outcomes (outcome, frames, bytes).
 
-    outcome is parsed, skipped or failed; output_paths are those of parsed rows, errors are
-    struct(key, error) of failed ones, both sorted.  Without batch columns all rows are one batch.
+    outcome is parsed, skipped or failed; frames and bytes are those of parsed rows.  Without batch columns
+    all rows are one batch.  Paths and errors are tables of their own: batch_outputs and batch_errors.
     """
 
     def of(kind: str) -> Column:
         return F.col("outcome") == kind
 
-    return outcomes.groupBy(*(batch or [])).agg(
-        F.count("*").alias("total"), F.count_if(of("parsed")).alias("successful"), F.count_if(of("skipped")).alias("skipped"), F.count_if(of("failed")).alias("failed"),
-        F.coalesce(F.sum("frames"), F.lit(0)).alias("frames"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
-        F.sort_array(F.collect_list(F.when(of("parsed"), F.col("output_path")))).alias("output_paths"), F.sort_array(F.collect_list(F.when(of("failed"), F.struct(key, "error")))).alias("errors"))
+    def total(c: str) -> Column:
+        return F.coalesce(F.sum(F.when(of("parsed"), F.col(c))), F.lit(0)).alias(c)
+
+    return outcomes.groupBy(*(batch or [])).agg(F.count("*").alias("total"), F.count_if(of("parsed")).alias("successful"), F.count_if(of("skipped")).alias("skipped"), F.count_if(of("failed")).alias("failed"), total("frames"), total("bytes"))
+
+
+def batch_outputs(outcomes: DataFrame, batch: list[str] | None = None) -> DataFrame:
+    """Rows (batch columns, output_path), one a parsed row."""
+    return outcomes.filter("outcome = 'parsed'").select(*(batch or []), "output_path")
+
+
+def batch_errors(outcomes: DataFrame, key: str, batch: list[str] | None = None) -> DataFrame:
+    """Rows (batch columns, key, error), one a failed row."""
+    return outcomes.filter("outcome = 'failed'").select(*(batch or []), key, "error")
 
 
 def to_visit(members: DataFrame, groups: DataFrame, key: str, status: str = "status", force: bool = False, ids: DataFrame | None = None, id_key: str | None = None) -> DataFrame:
@@ -175,8 +241,14 @@ def metadata_merge(ledger: DataFrame, stored: DataFrame, sidecar: DataFrame, key
 
 
 def latest_snapshot(snapshots: DataFrame, stamp: str) -> DataFrame:
-    """Rows of the snapshot with the largest stamp."""
-    return snapshots.join(F.broadcast(snapshots.agg(F.max(stamp).alias("__top"))), F.col(stamp) == F.col("__top")).drop("__top")
+    """Rows of the snapshot with the largest stamp, for a table of snapshots.
+
+    The stamp is found first, so that the rows are read with it as a filter: of a table partitioned by the stamp
+    only that partition, of another only row groups that may hold it.  Snapshots written as folders are
+    found from their names alone by sources.frames.read_latest_snapshot.
+    """
+    top = snapshots.agg(F.max(stamp)).first()[0]
+    return snapshots.filter(F.lit(False) if top is None else F.col(stamp) == F.lit(top))
 
 
 def batch_ids(ids: DataFrame, key: str, size: int = 100) -> DataFrame:

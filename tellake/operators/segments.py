@@ -70,12 +70,16 @@ def window_index(segments: DataFrame, size: int | None = 128, stride: int = 64)
 def window_frames(frames: DataFrame, segments: DataFrame, series: str, size: int, stride: int, index: str = "frame") -> DataFrame:
     """Frames with (w_start, pos) for each window that holds them; also right for stride > size.
 
-    No interval join: a frame is matched to its segment by an equi-join on the series, then
-    the numbers of its windows follow from arithmetic.
+    No interval join: segments that hold a window are cut by blocks of `size` frames, and frames meet them by series and
+    block.  Such segments are at least a block long and apart, so two at most touch a block and a frame
+    meets two at most, however many segments its series has.  The numbers of its windows follow from arithmetic.
     """
     _check(size, stride)
-    own = frames.join(segments.select(F.col(series).alias("__s"), "seg_start", "seg_end"), F.col(series) == F.col("__s")).drop("__s")
-    own = own.filter((F.col(index) >= F.col("seg_start")) & (F.col(index) < F.col("seg_end")) & (F.col("seg_end") - F.col("seg_start") >= size))
+    long = segments.filter(F.col("seg_end") - F.col("seg_start") >= size).select(F.col(series).alias("__s"), "seg_start", "seg_end")
+    first, last = F.floor(F.col("seg_start") / size), F.floor((F.col("seg_end") - 1) / size)
+    blocks = long.withColumn("__block", F.explode(F.sequence(first, last)))
+    own = frames.withColumn("__at", F.floor(F.col(index) / size)).join(blocks, (F.col(series) == F.col("__s")) & (F.col("__at") == F.col("__block"))).drop("__s", "__at", "__block")
+    own = own.filter((F.col(index) >= F.col("seg_start")) & (F.col(index) < F.col("seg_end")))
     off = F.col(index) - F.col("seg_start")
     low = F.greatest(F.lit(0).cast("long"), F.ceil((off - size + 1) / stride))
     high = F.least(F.floor((F.col("seg_end") - F.col("seg_start") - size) / stride), F.floor(off / stride))
@@ -93,3 +97,32 @@ def window_matrix(in_windows: DataFrame, series: str, features: list[str]) -> Da
 def missing_boundaries(catalogue: DataFrame, segments: DataFrame, key: str) -> DataFrame:
     """Catalogue rows without a stored segment list."""
     return catalogue.join(segments.select(key).distinct(), key, "left_anti")
+
+
+def stored_windows(catalogue: DataFrame, ids: DataFrame, key: str, size: int | None = 128, stride: int = 64, column: str = "segment_boundaries") -> tuple[DataFrame, DataFrame]:
+    """(windows, skipped) of the wanted ids from the boundaries stored with the catalogue; no frames are read.
+
+    windows: rows (key, seg_start, seg_end, w_start, w_end).  skipped: one row (skipped), the number of wanted series
+    whose boundaries are NULL or empty text; `[]` is a series without segments and is not counted.  Ids that
+    are not in the catalogue are ignored, repeated ones taken once.
+    """
+    wanted = catalogue.join(ids.select(key).distinct(), key, "left_semi").select(key, F.col(column).alias("boundaries"))
+    lacking = F.coalesce(F.col("boundaries"), F.lit("")) == ""
+    return window_index(parse_boundaries(wanted.filter(~lacking)), size, stride), wanted.agg(F.count_if(lacking).alias("skipped"))
+
+
+def backfill_boundaries(catalogue: DataFrame, frames: DataFrame, key: str, reset: Column, min_frames: int = 10, column: str = "segment_boundaries", index: str = "frame") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(boundaries, failures, summary) for the parsed catalogue rows without stored boundaries.
+
+    boundaries: rows (key, boundaries JSON), `[]` for a series without a long enough segment; failures: rows (key, error) of
+    those that have no frames; summary: one row (total, successful, failed).  frames needs only key, index and
+    what reset looks at; series that are not asked for are not segmented.
+    """
+    asked = catalogue.filter(F.col(column).isNull()).select(key).distinct()
+    mine = frames.join(asked, key, "left_semi")
+    there = mine.select(key).distinct()
+    found = there.join(boundaries_json(segment_boundaries(mine, key, reset, min_frames, index), key), key, "left").select(key, F.coalesce("boundaries", F.lit("[]")).alias("boundaries"))
+    state = asked.join(there.withColumn("__there", F.lit(True)), key, "left")
+    failures = state.filter("__there is null").select(key, F.lit("no frames found").alias("error"))
+    ok = F.count_if(F.col("__there"))
+    return found, failures, state.agg(F.count("*").alias("total"), ok.alias("successful"), (F.count("*") - ok).alias("failed"))

@@ -57,6 +57,12 @@ def raw_columns(global_groups: list[str], player_groups: list[str], num_players:
     return [c for g in global_groups for c in GLOBAL_GROUPS[g]] + [f"p{i}_{c}" for i in range(num_players) for c in own]
 
 
+def expected_count(global_groups: list[str], player_groups: list[str], num_players: int) -> int:
+    """Columns of a raw frame array before repeats are dropped; an unknown group is a KeyError."""
+    shared, own = (sum(len(known[g]) for g in groups) for known, groups in ((GLOBAL_GROUPS, global_groups), (PLAYER_GROUPS, player_groups)))
+    return shared + num_players * own
+
+
 def preset_columns(preset: str, num_players: int) -> list[str]:
     if preset not in PARSE_PRESETS:
         raise ValueError(f"unknown preset {preset!r}; one of {sorted(PARSE_PRESETS)}")

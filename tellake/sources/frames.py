@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -9,6 +10,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import paths
+from ..operators.storage import entries, stored
+
 
 def file_stem(path: str = "_metadata.file_name"):
     return F.regexp_replace(F.col(path), r"\.[^.]*$", "")
@@ -21,8 +25,11 @@ def scan_directory(spark: SparkSession, path: str) -> DataFrame:
 
 
 def list_files(spark: SparkSession, path: str, glob: str = "*.replay") -> DataFrame:
-    """Rows (path, stem, length) of files below path; contents are not read."""
-    df = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
+    """Rows (path, stem, length) of files below path; contents are not read, and a missing folder has no files."""
+    try:
+        df = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
+    except AnalysisException:
+        return spark.createDataFrame([], "path string, stem string, length long")
     return df.select("path", F.regexp_extract("path", r"([^/]+)\.[^./]*$", 1).alias("stem"), "length")
 
 
@@ -31,63 +38,117 @@ def file_sizes(wanted: DataFrame, listing: DataFrame, key: str) -> DataFrame:
     return wanted.join(listing.select(F.col("stem").alias(key), F.col("length").alias("size")), key, "left").fillna(0, ["size"])
 
 
-def decode(files: DataFrame, decoder: Callable[[bytes], tuple[dict, list[list[float]]]], schema: str = "path string, ok boolean, error string, frame int, values array<double>") -> DataFrame:
-    """Frames of binary files through a caller's decoder; a failure is a row with ok false and its error, never an exception."""
+DECODED = "path string, ok boolean, error string, metadata string, num_frames long, num_features long, frame long, values array<double>"
+
+
+def decode(files: DataFrame, decoder: Callable[[bytes], tuple[dict | None, object]]) -> DataFrame:
+    """Files (path, content) through a caller's decoder, each once: a summary row a file, then its frames, as DECODED.
+
+    decoder(content) gives (metadata, array).  A summary row has frame NULL, metadata as JSON and the counts of
+    frames and features.  Failures are summary rows with ok false, never exceptions: a NULL content is a missing
+    file (counts -1), an exception of the decoder (-1), no array (0), an array that is not two-dimensional,
+    rows of different lengths, or no frames or features (counts as far as they are known).
+    """
+
+    def checked(array) -> tuple[str | None, int, int]:
+        if array is None:
+            return "Parsing returned None", 0, 0
+        shape = getattr(array, "shape", None)
+        if shape is None:
+            rows = list(array)
+            deep = [hasattr(r, "__len__") and not isinstance(r, (str, bytes)) for r in rows]
+            if not all(deep) or any(hasattr(v, "__len__") for r in rows for v in r):
+                return f"Expected 2D array, got {3 if deep and all(deep) else 1}D", len(rows), 0
+            if len({len(r) for r in rows}) > 1:
+                return "Rows of different lengths", len(rows), 0
+            shape = (len(rows), len(rows[0]) if rows else 0)
+        if len(shape) != 2:
+            return f"Expected 2D array, got {len(shape)}D", shape[0] if shape else 0, 0
+        return ("Array has zero frames or features" if 0 in shape else None), shape[0], shape[1]
+
+    def one(path: str, content: bytes | None) -> tuple[list, object]:
+        if content is None:
+            return [path, False, f"File not found: {path}", None, -1, -1], None
+        try:
+            metadata, array = decoder(content)
+            error, n, width = checked(array)
+            told = None if metadata is None else json.dumps(metadata)
+        except Exception as e:  # the decoder is the caller's; its errors are data here
+            return [path, False, f"Parsing failed: {e}", None, -1, -1], None
+        return [path, error is None, error, told, n, width], array if error is None else None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = [c.split()[0] for c in DECODED.split(", ")]
         for pdf in batches:
-            rows: list[tuple] = []
             for path, content in zip(pdf["path"], pdf["content"]):
-                try:
-                    _, frames = decoder(content)
-                    if not len(frames) or not len(frames[0]):
-                        raise ValueError("no frames or no features")
-                    rows += [(path, True, None, i, list(map(float, f))) for i, f in enumerate(frames)]
-                except Exception as e:  # the decoder is the caller's; its errors are data here
-                    rows.append((path, False, str(e), None, None))
-            yield pd.DataFrame(rows, columns=["path", "ok", "error", "frame", "values"])
+                summary, array = one(path, content)
+                rows = [(*summary, None, None)]
+                if array is not None:
+                    rows += [(path, True, None, None, None, None, i, [float(v) for v in f]) for i, f in enumerate(array)]
+                out = pd.DataFrame(rows, columns=names).astype(object)
+                yield out.where(out.notna(), None)
 
-    return files.select("path", "content").mapInPandas(run, schema)
+    return files.select("path", "content").mapInPandas(run, DECODED)
 
 
-def write_frames(frames: DataFrame, path: str, files: int, key: str = "replay_id", index: str = "frame") -> None:
-    """Clustered by key and sorted, so that a reader of one series skips other files and row groups."""
-    frames.repartition(files, key).sortWithinPartitions(key, index).write.mode("overwrite").option("compression", "snappy").parquet(path)
+def ingest(spark: SparkSession, wanted: DataFrame, root: str, decoder: Callable[[bytes], tuple[dict | None, object]], key: str = "replay_id", stored_at: str = "storage_key") -> tuple[DataFrame, DataFrame]:
+    """(frames, outcomes) of raw files below root: each file is read and decoded once, and both come from one stored table.
 
+    frames: rows (key, frame, values); outcomes: rows (key, path, ok, error, metadata, num_frames, num_features), one
+    a row of wanted, files that are not found included.  Files are found by the rules for raw files.
+    """
+    listing = list_files(spark, root)
+    located = paths.locate_raw(wanted.filter(F.col(key).isNotNull()), listing, key, stored_at, plain_root(root))
+    try:
+        binary = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.replay").load(root).select(paths.plain(F.col("path")).alias("path"), "content")
+    except AnalysisException:
+        binary = spark.createDataFrame([], "path string, content binary")
+    asked = located.select(F.col(key).alias("__key"), "path")
+    both = stored(decode(binary.join(asked.select("path").filter("path is not null").distinct(), "path", "left_semi"), decoder))
+    told = asked.join(both.filter("frame is null"), "path", "left")
+    lost = F.col("ok").isNull()
+    outcomes = told.select(
+        F.col("__key").alias(key), "path", (~lost & F.coalesce("ok", F.lit(False))).alias("ok"), F.when(lost, F.concat(F.lit("File not found: "), F.col("__key").cast("string"))).otherwise(F.col("error")).alias("error"),
+        "metadata", F.coalesce("num_frames", F.lit(-1)).alias("num_frames"), F.coalesce("num_features", F.lit(-1)).alias("num_features"))
+    frames = both.filter("frame is not null").select("path", "frame", "values").join(asked, "path")
+    return frames.select(F.col("__key").alias(key), "frame", "values"), outcomes
 
-def write_sidecar(metadata: DataFrame, path: str) -> None:
-    metadata.write.mode("overwrite").json(path)
 
+def plain_root(root: str) -> str:
+    """root spelt as plain() spells paths."""
+    return "/" + root.split(":", 1)[1].lstrip("/") if root.startswith("file:") else root
 
-def read_sidecar(spark: SparkSession, path: str, schema: str, lines: bool = False) -> DataFrame:
-    """JSON side tables, one record a file, indented or not (lines: one record a line, as write_sidecar writes); broken records are dropped."""
-    return spark.read.schema(schema).option("multiLine", not lines).json(path).dropna("all")
 
+def write_frames(frames: DataFrame, path: str, files: int, key: str = "replay_id", index: str = "frame") -> None:
+    """Clustered by key and sorted, so that a reader of one series skips other files and row groups."""
+    frames.repartition(files, key).sortWithinPartitions(key, index).write.mode("overwrite").option("compression", "snappy").parquet(path)
 
-def load_one(spark: SparkSession, table: DataFrame, key: str, value, path: str = "output_path") -> DataFrame | None:
-    """Frames of one catalogued series with its key, or None if the key is unknown or its file cannot be found."""
-    row = table.filter(F.col(key) == F.lit(value)).select(path).first()
-    if row is None or not row[0]:
-        return None
-    try:
-        return spark.read.parquet(row[0]).withColumn(key, F.lit(value))
-    except AnalysisException:
-        return None
 
+def write_sidecar(metadata: DataFrame, path: str, key: str = "replay_id") -> None:
+    """One indented JSON record a series, each a file below path/key=<value>; a rerun replaces all.
 
-def write_tree(tree: DataFrame, path: str) -> None:
-    """A group tree, rows (id, parent_id, name), as JSON lines below path."""
-    tree.write.mode("overwrite").json(path)
+    Rows of a key share a file, one record after the other; NULL fields are left out.
+    """
+    record = F.to_json(F.struct(*[F.col(f"`{c}`") for c in metadata.columns]), {"pretty": "true"})
+    metadata.select(F.col(f"`{key}`").alias(key), record.alias("value")).repartition(key).write.mode("overwrite").partitionBy(key).text(path)
 
 
-def read_tree(spark: SparkSession, path: str) -> DataFrame | None:
-    """A tree from write_tree, or None where there is none."""
-    try:
-        return spark.read.schema("id string, parent_id string, name string").json(path)
-    except AnalysisException:
-        return None
+def read_sidecar(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """JSON side files below path, one record a file, indented or not; broken records are dropped."""
+    return spark.read.schema(schema).options(multiLine=True, recursiveFileLookup=True).json(path).dropna("all")
 
 
 def write_snapshot(table: DataFrame, path: str, stamp: str) -> None:
     """A dated copy; earlier copies stay."""
     table.withColumn("ts", F.lit(stamp)).write.mode("append").partitionBy("ts").parquet(path)
+
+
+def snapshot_stamps(spark: SparkSession, path: str) -> list[str]:
+    """Stamps of the copies below path, oldest first; from the folder's names alone."""
+    return sorted(name[3:] for name in entries(spark, path) if name.startswith("ts="))
+
+
+def read_latest_snapshot(spark: SparkSession, path: str) -> DataFrame | None:
+    """The copy whose stamp comes last, without reading the others; None where there is no copy."""
+    stamps = snapshot_stamps(spark, path)
+    return spark.read.parquet(f"{path}/ts={stamps[-1]}") if stamps else None

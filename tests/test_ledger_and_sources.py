@@ -21,10 +21,6 @@ def test_transitions(spark):
     groups = spark.createDataFrame([("g", "A", "complete", 3, 1, "2024"), ("h", "B", "partial", 1, 1, None)], "id string, name string, status string, done long, failed long, completed_at string")
     begun = spark.createDataFrame([("g",), ("k",)], "id string")
     assert rows(ledger.start_groups(groups, begun, "id", ["done", "failed"])) == [("g", "A", "pending", 0, 0, None), ("h", "B", "partial", 1, 1, None), ("k", None, "pending", 0, 0, None)]
-    raw = spark.createDataFrame([("a", 0, "old", None), ("b", 1, None, 9)], "id string, is_downloaded int, error string, size long")
-    done = spark.createDataFrame([("a", 4), ("z", 4)], "id string, size long")
-    assert rows(ledger.mark_downloaded(raw, done, "id", ["size"])) == [("a", 1, "old", 4), ("b", 1, None, 9)]
-    assert rows(ledger.mark_failed(raw, bad, "id")) == [("a", 0, "old", None), ("b", 1, "broken", 9)]
 
 
 def test_lookup_and_visits(spark):
@@ -39,8 +35,7 @@ def test_lookup_and_visits(spark):
 
 def test_statistics_of_nothing(spark):
     none = spark.createDataFrame([], "id string, outcome string, frames long, bytes long, output_path string, error string, path string, length long")
-    r = ledger.batch_result(none, "id").first()
-    assert tuple(r)[:6] == (0, 0, 0, 0, 0, 0) and r.output_paths == [] and r.errors == []
+    assert tuple(ledger.batch_result(none).first()) == (0, 0, 0, 0, 0, 0)
     assert tuple(paths.storage_statistics(none, "x").first()) == (0, 0, 0.0, 0.0)
     d = ledger.download_statistics(none, F.col("outcome") == "d", F.col("outcome") == "f", "bytes").first()
     assert tuple(d) == (0, 0, 0, 0, 0, 0.0, 0.0) and ledger.frame_summary(none, "frames").first().n == 0
@@ -51,23 +46,17 @@ def test_header_and_players(spark):
     df = spark.createDataFrame([(1, [("Id", "x"), ("Goals", "[3]"), ("Id", "y")]), (2, [])], f"id int, pairs array<{pair}>")
     one, two = sorted(metadata.header_fields(df, ["id"], "pairs").collect())
     assert len(one) == 13 and (one.ballchasing_id, one.goals, one.highlights, one.date) == ("y", "[3]", "[]", None) and (two.ballchasing_id, two.goals) == (None, "[]")
-    player = "struct<name:string,remote_id:string,stats:map<string,int>>"
-    teams = spark.createDataFrame([(1, [("A", "steam:77", {"s": 1}), (None, "epic:5", None)], None), (2, None, [("B", None, None)])], f"id int, zero array<{player}>, one array<{player}>")
+    player = "struct<name:string,remote_id:map<string,string>,stats:map<string,int>>"
+    teams = spark.createDataFrame([(1, [("A", {"Steam": "77", "Epic": "x"}, {"s": 1}), (None, {"Epic": "5"}, None)], None), (2, None, [("B", None, {})])], f"id int, zero array<{player}>, one array<{player}>")
     got = [tuple(r) for r in metadata.player_mapping(teams, ["id"], "zero", "one").orderBy("id", "slot").collect()]
-    assert got == [(1, 0, 0, "A", "77", {"s": 1}), (1, 1, 0, "Unknown", None, None), (2, 0, 1, "B", None, None)]
+    assert got == [(1, 0, 0, "A", "77", {"s": 1}), (1, 1, 0, None, None, {}), (2, 0, 1, "B", None, {})]
     n = teams.select("id", features.player_count("zero", "one").alias("n")).orderBy("id").collect()
     assert [r.n for r in n] == [2, 1]
 
 
-def test_keys_and_candidates(spark):
+def test_mirror_keys(spark):
     df = spark.createDataFrame([("a", "replays/raw/x/a.replay"), ("b", None)], "id string, raw string")
     assert rows(df.select(paths.mirror_key(F.col("raw"), F.col("id"), paths.SIDECAR))) == [("replays/parsed/b.metadata.json",), ("replays/parsed/x/a.metadata.json",)]
-    listing = spark.createDataFrame([("r/replays/raw/x/a.replay",), ("r/b.replay",)], "path string")
-    none = F.lit(None).cast("string")
-    assert rows(paths.resolve(df, listing, "id", paths.raw_candidates(F.col("id"), none, F.col("raw"), "r"))) == [("a", "r/replays/raw/x/a.replay"), ("b", "r/b.replay")]
-    parsed = spark.createDataFrame([("r/replays/parsed/x/a.parquet",), ("out/b",)], "path string")
-    out = F.when(F.col("id") == "b", "out/b")
-    assert rows(paths.resolve(df, parsed, "id", paths.frame_candidates(F.col("id"), out, F.col("raw"), "r/"))) == [("a", "r/replays/parsed/x/a.parquet"), ("b", "out/b")]
 
 
 def test_sources_and_sinks(spark, tmp_path):
@@ -80,29 +69,28 @@ def test_sources_and_sinks(spark, tmp_path):
     assert rows(listing.select("stem", "length")) == [("a", 2), ("b", 3)]
     wanted = spark.createDataFrame([("a",), ("q",)], "stem string")
     assert rows(frames.file_sizes(wanted, listing, "stem")) == [("a", 2), ("q", 0)]
-    binary = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.replay").load(f"{base}/raw")
-    decoded = frames.decode(binary, lambda content: ({}, [[float(c)] for c in content.decode()])).collect()
-    assert sorted((r.ok, r.frame) for r in decoded if r.ok) == [(True, 0), (True, 1)] and [r.error for r in decoded if not r.ok]
+    assert frames.list_files(spark, f"{base}/none").count() == 0 and tuple(paths.storage_statistics(frames.list_files(spark, f"{base}/none")).first()) == (0, 0, 0.0, 0.0)
     table = spark.createDataFrame([("a", 1), ("a", 0), ("b", 0)], "replay_id string, frame int")
     frames.write_frames(table, f"{base}/frames", 2)
     assert rows(spark.read.parquet(f"{base}/frames")) == rows(table)
-    known = spark.createDataFrame([("a", f"{base}/frames"), ("b", f"{base}/none"), ("c", None)], "replay_id string, output_path string")
-    assert frames.load_one(spark, known, "replay_id", "a").count() == 3
-    assert all(frames.load_one(spark, known, "replay_id", k) is None for k in "bcz")
     side = tmp_path / "side"
     side.mkdir()
     (side / "a.json").write_text(json.dumps({"id": "a", "n": 1}, indent=2))
     (side / "b.json").write_text("{ broken")
     assert rows(frames.read_sidecar(spark, f"{base}/side", "id string, n long")) == [("a", 1)]
-    frames.write_sidecar(table, f"{base}/lines")
-    assert frames.read_sidecar(spark, f"{base}/lines", "replay_id string, frame int", lines=True).count() == 3
-    for stamp in ("2024", "2025"):
-        frames.write_snapshot(table.limit(1 + (stamp == "2025")), f"{base}/snap", stamp)
+    records = spark.createDataFrame([("a", 1, [("k", 2)]), ("b", 2, None)], "replay_id string, n long, goals array<struct<who:string,at:int>>")
+    frames.write_sidecar(records, f"{base}/records")
+    frames.write_sidecar(records, f"{base}/records")
+    written = sorted((tmp_path / "records").rglob("part-*"))
+    assert len(written) == 2 and json.loads(written[0].read_text()) == {"replay_id": "a", "n": 1, "goals": [{"who": "k", "at": 2}]} and "\n  " in written[0].read_text()
+    assert rows(frames.read_sidecar(spark, f"{base}/records", "replay_id string, n long")) == [("a", 1), ("b", 2)]
+    assert frames.read_latest_snapshot(spark, f"{base}/snap") is None and frames.snapshot_stamps(spark, f"{base}/snap") == []
+    for stamp in ("20240101_000000", "20250101_000000"):
+        frames.write_snapshot(table.limit(1 + (stamp > "2025")), f"{base}/snap", stamp)
     assert ledger.latest_snapshot(spark.read.parquet(f"{base}/snap"), "ts").count() == 2
-    tree = spark.createDataFrame([("r", None, "root"), ("k", "r", "kid")], "id string, parent_id string, name string")
-    assert frames.read_tree(spark, f"{base}/tree") is None
-    frames.write_tree(tree, f"{base}/tree")
-    assert rows(frames.read_tree(spark, f"{base}/tree")) == rows(tree)
+    assert ledger.latest_snapshot(spark.read.parquet(f"{base}/snap").limit(0), "ts").count() == 0
+    latest = frames.read_latest_snapshot(spark, f"{base}/snap")
+    assert latest.count() == 2 and latest.columns == ["replay_id", "frame"] and all("ts=20250101_000000" in f for f in latest.inputFiles())
 
 
 def test_retry(spark):
