@@ -34,10 +34,14 @@ def query(sql: str | None = None):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from . import store_queries  # noqa: F401  registers its own
+
     return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
+    from . import store_queries  # noqa: F401
+
     return dict(_sql)
 
 
@@ -409,12 +413,15 @@ def batch_result(spark, d):
 OUTCOME = "CASE o_orderstatus WHEN 'F' THEN 'parsed' WHEN 'O' THEN 'skipped' ELSE 'failed' END"
 
 
-@query(f"SELECT o_orderdate, count(*) AS total, count(*) FILTER (o = 'parsed') AS successful, count(*) FILTER (o = 'skipped') AS skipped, count(*) FILTER (o = 'failed') AS failed, coalesce(sum(CASE WHEN o = 'parsed' THEN o_custkey END), 0)::BIGINT AS frames, coalesce(sum(o_custkey), 0)::BIGINT AS bytes, coalesce(string_agg(CASE WHEN o = 'parsed' THEN 'out/' || o_orderkey END, ',' ORDER BY 'out/' || o_orderkey), '') AS output_paths, coalesce(string_agg(CASE WHEN o = 'failed' THEN o_orderkey || ':' || o_orderpriority END, ',' ORDER BY o_orderkey), '') AS errors FROM (SELECT *, {OUTCOME} AS o FROM orders) GROUP BY 1")
+@query(f"SELECT o_orderdate, count(*) AS total, count(*) FILTER (o = 'parsed') AS successful, count(*) FILTER (o = 'skipped') AS skipped, count(*) FILTER (o = 'failed') AS failed, coalesce(sum(CASE WHEN o = 'parsed' THEN o_custkey END), 0)::BIGINT AS frames, coalesce(sum(CASE WHEN o = 'parsed' THEN o_custkey END), 0)::BIGINT AS bytes, coalesce(string_agg(CASE WHEN o = 'parsed' THEN 'out/' || o_orderkey END, ',' ORDER BY 'out/' || o_orderkey), '') AS output_paths, coalesce(string_agg(CASE WHEN o = 'failed' THEN o_orderkey || ':' || o_orderpriority END, ',' ORDER BY o_orderkey), '') AS errors FROM (SELECT *, {OUTCOME} AS o FROM orders) GROUP BY 1")
 def batch_report(spark, d):
     kind = F.when(F.col("o_orderstatus") == "F", "parsed").when(F.col("o_orderstatus") == "O", "skipped").otherwise("failed")
     rows = t(spark, d, "orders").select("o_orderdate", "o_orderkey", kind.alias("outcome"), F.when(kind == "parsed", F.col("o_custkey")).alias("frames"), F.col("o_custkey").alias("bytes"), F.concat(F.lit("out/"), "o_orderkey").alias("output_path"), F.col("o_orderpriority").alias("error"))
-    out = ledger.batch_result(rows, "o_orderkey", ["o_orderdate"])
-    return out.withColumns({"output_paths": F.array_join("output_paths", ","), "errors": F.array_join(F.transform("errors", lambda e: F.concat(e["o_orderkey"].cast("string"), F.lit(":"), e["error"])), ",")})
+    lists = F.array_join(F.array_sort(F.collect_list(F.col("v"))), ",")
+    paths_of = ledger.batch_outputs(rows, ["o_orderdate"]).withColumnRenamed("output_path", "v").groupBy("o_orderdate").agg(lists.alias("output_paths"))
+    errors = ledger.batch_errors(rows, "o_orderkey", ["o_orderdate"]).groupBy("o_orderdate").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", "error"))), lambda e: F.concat(e["o_orderkey"].cast("string"), F.lit(":"), e["error"])), ",").alias("errors"))
+    out = ledger.batch_result(rows, ["o_orderdate"]).join(paths_of, "o_orderdate", "left").join(errors, "o_orderdate", "left")
+    return out.fillna("", ["output_paths", "errors"])
 
 
 @query("SELECT count(*) AS total, coalesce(sum(o_custkey), 0)::BIGINT AS bytes, round(sum(o_custkey) / 1048576.0::DOUBLE, 2) AS mb, round(sum(o_custkey) / 1073741824.0::DOUBLE, 2) AS gb FROM orders")
@@ -554,7 +561,7 @@ def storage_stats(spark, d):
     return t(spark, d, "documents").groupBy("source").agg(F.count("*").alias("files"), F.sum("n_chars").alias("bytes"), ledger.megabytes(F.sum("n_chars")).alias("mb"))
 
 
-@query()
+@query("SELECT 'events' AS replay_id, event_id, user_id FROM events")
 def scan_directory(spark, d):
     return scan(spark, f"{d}/events.parquet").select("replay_id", "event_id", "user_id")
 
