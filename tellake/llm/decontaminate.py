@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import id_array, pack, unpack
-from .store import ROW_KEY, broadcast_if_small, materialize, with_row_keys
+from .store import all_columns, broadcast_if_small, materialize, with_row_keys
 from .words import ALNUM, LOWER, U, slices, split_words, text_buffers
 
 GAP = 64
@@ -250,8 +250,8 @@ def contamination_digest(df: DataFrame, benchmark: DataFrame, size: int = 10) ->
 
 
 def without_contaminated(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 10) -> DataFrame:
-    """df without contaminated rows, whatever their ids."""
-    rows = with_row_keys(df)
-    bad = contamination(rows, benchmark, ROW_KEY, text_col, size=size).filter("n_hit > 0").select(F.col("doc_id").alias(ROW_KEY))
+    """df without contaminated rows, whatever their ids and the names of other columns."""
+    rows, key = with_row_keys(df)
+    bad = contamination(rows, benchmark, key, text_col, size=size).filter("n_hit > 0").select(F.col("doc_id").alias(key))
     bad = broadcast_if_small(materialize(bad, "contaminated"))
-    return rows.join(bad, ROW_KEY, "left_anti").select(*df.columns)
+    return rows.join(bad, key, "left_anti").select(*all_columns(df))

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .blocks import Block, Emit, answers, bucket_count, exchange, make_blocks, pack, unpack
 from .components import connected_components
-from .store import ROW_KEY, broadcast_if_small, drop, materialize, with_row_keys
+from .store import all_columns, broadcast_if_small, drop, materialize, quoted, with_row_keys
 from .words import LOWER, SPACED, U, mix, split_words, windows
 
 SAMPLE_BITS = 2
@@ -369,12 +369,12 @@ def _renamed(chunks: DataFrame, roots: DataFrame) -> DataFrame:
 
 def one_per_component(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """df with one row of each near-duplicate group: the first by id, null ids last, then by place in df."""
-    rows = with_row_keys(df)
-    groups = jaccard_components(rows, ROW_KEY, text_col, n, num, den)
-    named = groups.select(F.col("doc_id").alias(ROW_KEY), "component_id").join(rows.select(ROW_KEY, F.col(id_col).alias("id")), ROW_KEY)
-    spot = F.struct(F.col("id").isNull().alias("none"), "id", ROW_KEY)
+    rows, key = with_row_keys(df)
+    groups = jaccard_components(rows, key, text_col, n, num, den)
+    named = groups.select(F.col("doc_id").alias("row"), "component_id").join(rows.select(F.col(key).alias("row"), F.col(quoted(id_col)).alias("id")), "row")
+    spot = F.struct(F.col("id").isNull().alias("none"), "id", "row")
     named = materialize(named.select("component_id", spot.alias("spot")), "named")
-    first = named.groupBy("component_id").agg(F.min("spot").alias("first"), F.count("*").alias("rows")).filter("rows > 1").select("component_id", f"first.{ROW_KEY}")
-    gone = named.join(first.withColumnRenamed(ROW_KEY, "kept"), "component_id").select(f"spot.{ROW_KEY}", "kept").filter(F.col(ROW_KEY) != F.col("kept")).select(ROW_KEY)
+    first = named.groupBy("component_id").agg(F.min("spot").alias("first"), F.count("*").alias("rows")).filter("rows > 1").select("component_id", F.col("first.row").alias("kept"))
+    gone = named.join(first, "component_id").select(F.col("spot.row").alias(key), "kept").filter(F.col(key) != F.col("kept")).select(key)
     gone = broadcast_if_small(materialize(gone, "gone"))
-    return rows.join(gone, ROW_KEY, "left_anti").select(*df.columns)
+    return rows.join(gone, key, "left_anti").select(*all_columns(df))

@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .store import materialize
@@ -132,27 +132,45 @@ def floors_of(counts: np.ndarray, idf: np.ndarray, centroids: np.ndarray, quanti
     return out
 
 
-def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", n_centroids: int = 4, sample_per_lang: int = 400, quantile: float = 0.02, slack: float = 0.7) -> LanguageModel:
+def sample_cuts(rows: DataFrame, sample_per_lang: int, sample_total: int) -> dict[str, int]:
+    """For each language the hash up to which rows (lang, h) are its sample; at most sample_per_lang distinct hashes are.
+
+    Many languages share sample_total.  Ranks stop at the sample's size in every task before the exchange.  Equal
+    rows have equal hashes and are one vector of the sample; every language has one at least.
+    """
+    langs = rows.select("lang").distinct().count()
+    most = max(1, min(sample_per_lang, sample_total // max(1, langs)))
+    first = rows.select("lang", "h", F.row_number().over(Window.partitionBy("lang").orderBy("h")).alias("k")).filter(F.col("k") <= most)
+    return {r["lang"]: r["cut"] for r in first.groupBy("lang").agg(F.max("h").alias("cut")).collect()}
+
+
+def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", n_centroids: int = 4, sample_per_lang: int = 400, quantile: float = 0.02, slack: float = 0.7, sample_total: int = 20_000) -> LanguageModel:
     """Learn from rows with a language and a letter; others are ignored.
 
-    Document frequencies cover all these rows.  Centroids are clustered from a sample: rows
-    chosen by a hash of their id, about sample_per_lang (a bound of the vectors that reach
-    the driver) for each language; every fourth of them is left out of the fit and sets the
+    Document frequencies cover all these rows.  Centroids are clustered from a sample of each language: its
+    sample_per_lang first rows by a hash of id and text (fewer, if there are more than sample_total / sample_per_lang
+    languages).  So null and repeated ids change nothing, and equal rows are one vector.  These samples are the
+    vectors that reach the driver, 8 kB each; every fourth of them is left out of the fit and sets the
     floors (all of them do both where they are fewer than 8).  No such rows: a model that rejects everything.
     """
-    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).filter("text is not null and lang is not null")
-    per_lang = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    if not per_lang:
+    text, lang = F.col(f"`{text_col}`").cast("string"), F.col(f"`{lang_col}`").cast("string")
+    letter = text.rlike(r"\p{L}")
+    rows = df.select(text.alias("text"), lang.alias("lang"), F.xxhash64(F.col(f"`{id_col}`").cast("string"), text).alias("h")).filter(text.isNotNull() & lang.isNotNull() & letter)
+    cut = sample_cuts(rows, sample_per_lang, sample_total)
+    if not cut:
         return LanguageModel(np.zeros(WIDTH, np.float32), np.zeros((0, WIDTH), np.float32), [], np.zeros((0, len(LENGTHS))))
-    share = F.create_map(*[F.lit(x) for lang, n in per_lang.items() for x in (lang, min(1.0, sample_per_lang / n))])
-    spread = F.pmod(F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit(""))), F.lit(1_000_003)) / 1_000_003.0
-    rows = rows.select("text", "lang", (spread < share[F.col("lang")]).alias("sampled"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, n = np.zeros(WIDTH, np.int64), 0
+        taken: set[tuple[str, int]] = set()
         for batch in batches:
             buf, offsets, _ = text_buffers(batch.column(0))
-            langs, sampled = batch.column(1).to_pylist(), np.asarray(batch.column(2))
+            langs, hashes = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+            sampled = np.zeros(len(langs), bool)
+            for i, key in enumerate(zip(langs, hashes)):
+                if key[1] <= cut[key[0]] and key not in taken:
+                    sampled[i] = True
+                    taken.add(key)
             for i, j in slices(offsets, texts=SLICE_TEXTS):
                 own = offsets[i : j + 1] - offsets[i]
                 part = buf[offsets[i] : offsets[j]]
@@ -162,7 +180,7 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
                 n += int(letters.sum())
                 pick = np.flatnonzero(letters & sampled[i:j])
                 if len(pick):
-                    yield pa.record_batch([pa.array([0] * len(pick), pa.int32()), pa.array([langs[i + p] for p in pick]), pa.array([0] * len(pick), pa.int64()), pa.array([np.minimum(counts[p], 65535).astype(np.uint16).tobytes() for p in pick], pa.binary())], names=_FIT)
+                    yield pa.record_batch([pa.array([0] * len(pick), pa.int32()), pa.array([langs[i + p] for p in pick]), pa.array([hashes[i + p] for p in pick], pa.int64()), pa.array([np.minimum(counts[p], 65535).astype(np.uint16).tobytes() for p in pick], pa.binary())], names=_FIT)
         yield pa.record_batch([pa.array([1 + TaskContext.get().partitionId() % 64], pa.int32()), pa.array([None], pa.string()), pa.array([n]), pa.array([seen.tobytes()], pa.binary())], names=_FIT)
 
     def total(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -177,7 +195,7 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
     seen = np.sum([np.frombuffer(r["vec"], np.int64) for r in sums], axis=0)
     idf = np.log((1 + n) / (1 + seen)).astype(np.float32) + np.float32(1)
     by_lang: dict[str, list] = {}
-    for r in table.filter("part = 0").orderBy("lang", "vec").collect():
+    for r in table.filter("part = 0").dropDuplicates(["lang", "n"]).orderBy("lang", "vec").collect():
         by_lang.setdefault(r["lang"], []).append(np.frombuffer(r["vec"], np.uint16))
     centroids, langs, floors = [np.zeros((0, WIDTH), np.float32)], [], []
     for lang in sorted(by_lang):

@@ -81,33 +81,33 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", most=32)
 
 
-def op1_mixing_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+def mixing_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The columns of op1 that SQL can express; the target in whole words."""
     return op1_mixing(spark, sf_dir).select("doc_id", "size", "source_size", F.round("target").cast("long").alias("target"))
 
 
-def op2_quality_rules_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+def quality_rules_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The base columns of op2."""
     return op2_quality_rules(spark, sf_dir).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
 
 
-def op7_language_model_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+def language_model_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The columns of op7 that SQL can express, the base score to four decimals."""
     return language_model_scores(table(spark, sf_dir, "documents"), "doc_id", "text").select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 4).alias("base_score"))
 
 
 def queries() -> dict:
-    named = {f.__name__: f for f in (op1_mixing, op2_quality_rules, op3_token_packing, op4_language_id, op5_ngram_jaccard_join, op6_decontamination, op7_language_model, op8_fuzzy_line_dedup, op9_license_scan, op10_substring_dedup, op11_prefix_trie, op12_byte_bpe, op13_whitening, op1_mixing_base, op2_quality_rules_base, op7_language_model_base)}
+    named = {f.__name__: f for f in (op1_mixing, op2_quality_rules, op3_token_packing, op4_language_id, op5_ngram_jaccard_join, op6_decontamination, op7_language_model, op8_fuzzy_line_dedup, op9_license_scan, op10_substring_dedup, op11_prefix_trie, op12_byte_bpe, op13_whitening, mixing_base, quality_rules_base, language_model_base)}
     return {"pipeline": corpus_pipeline.run, **named}
 
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "op1_mixing_base": oracles.MIXING_BASE,
-        "op2_quality_rules_base": oracles.QUALITY_BASE,
+        "mixing_base": oracles.MIXING_BASE,
+        "quality_rules_base": oracles.QUALITY_BASE,
         "op5_ngram_jaccard_join": oracles.JACCARD,
         "op6_decontamination": oracles.CONTAMINATION,
-        "op7_language_model_base": oracles.LANGUAGE_MODEL_BASE,
+        "language_model_base": oracles.LANGUAGE_MODEL_BASE,
         "op10_substring_dedup": oracles.SUBSTRINGS,
         "op11_prefix_trie": oracles.PREFIX_TRIE,
     }

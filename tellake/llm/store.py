@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _own: dict[str, str] = {}
@@ -46,12 +46,21 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
-ROW_KEY = "__row"
+def quoted(name: str) -> str:
+    """A column's name for F.col, whatever its characters."""
+    return "`" + name.replace("`", "``") + "`"
 
 
-def with_row_keys(df: DataFrame) -> DataFrame:
-    """df with a column ROW_KEY that names each row; written, so that later jobs see the same names."""
-    return materialize(df.withColumn(ROW_KEY, F.monotonically_increasing_id()), "rows")
+def all_columns(df: DataFrame) -> list[Column]:
+    return [F.col(quoted(c)) for c in df.columns]
+
+
+def with_row_keys(df: DataFrame) -> tuple[DataFrame, str]:
+    """(rows, key): df with one more column, of a name that df does not have, that names each row; written, so that later jobs see the same names."""
+    key = "__row"
+    while key in map(str.lower, df.columns):
+        key += "_"
+    return materialize(df.select("*", F.monotonically_increasing_id().alias(key)), "rows"), key
 
 
 def drop(*tables: DataFrame) -> None:

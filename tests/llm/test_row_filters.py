@@ -3,6 +3,8 @@
 import re
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from tellake.llm import decontaminate, jaccard_join
 
 LEAK = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda"
@@ -39,3 +41,23 @@ def test_one_row_of_each_group(spark):
     want = Counter(rows[k] for _, _, k in best.values())
     got = jaccard_join.one_per_component(spark.createDataFrame(rows, SCHEMA).coalesce(1)).collect()
     assert Counter(map(tuple, got)) == want and len(got) == 6
+
+
+CLASHING = ("__row", "__ROW_", "a.b", "doc", "block", "component_id", "n_hit", "row", "spot", "tick`s")
+
+
+def clashing(df):
+    for k, name in enumerate(CLASHING):
+        df = df.withColumn(name, F.lit(k) if k % 2 else F.col("doc_id"))
+    return df
+
+
+def test_columns_of_any_name_come_back_as_they_were(spark):
+    rows = [(5, COPY), (6, COPY), (7, LEAK), (None, CLEAN), (8, None)]
+    df = clashing(spark.createDataFrame(rows, SCHEMA))
+    bench = spark.createDataFrame([(1, LEAK)], "item_id long, text string")
+    want = {r.doc_id: tuple(r) for r in df.collect()}
+    for got, ids in ((decontaminate.without_contaminated(df, bench), {5, 6, None, 8}), (jaccard_join.one_per_component(df), {5, 7, None, 8})):
+        assert got.columns == df.columns
+        assert {r.doc_id: tuple(r) for r in got.collect()} == {i: want[i] for i in ids}
+    assert decontaminate.without_contaminated(df.limit(0), bench).count() == 0 and jaccard_join.one_per_component(df.limit(0)).columns == df.columns
