@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ledger import limited
+
 
 def frame_index(df: DataFrame, series: str, *order: str) -> DataFrame:
     """df with frame = 0-based place in its series by the order columns."""
@@ -94,9 +96,9 @@ def window_matrix(in_windows: DataFrame, series: str, features: list[str]) -> Da
     return out.select(series, "w_start", F.col("rows.values").alias("matrix"))
 
 
-def missing_boundaries(catalogue: DataFrame, segments: DataFrame, key: str) -> DataFrame:
-    """Catalogue rows without a stored segment list."""
-    return catalogue.join(segments.select(key).distinct(), key, "left_anti")
+def missing_boundaries(catalogue: DataFrame, segments: DataFrame, key: str, limit: int | None = None) -> DataFrame:
+    """Catalogue rows without a stored segment list; with a limit the first of them by key (None or 0: all)."""
+    return limited(catalogue.join(segments.select(key).distinct(), key, "left_anti"), key, limit)
 
 
 def stored_windows(catalogue: DataFrame, ids: DataFrame, key: str, size: int | None = 128, stride: int = 64, column: str = "segment_boundaries") -> tuple[DataFrame, DataFrame]:

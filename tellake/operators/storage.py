@@ -18,7 +18,16 @@ def stored(df: DataFrame) -> DataFrame:
     """df written as Parquet to a new shared folder and read back."""
     path = shared_folder(df.sparkSession, "table")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete the files of stored tables that nothing reads any more; other tables are left alone."""
+    for df in tables:
+        if path := getattr(df, "_stored_at", None):
+            remove(df.sparkSession, path)
 
 
 def _at(spark: SparkSession, path: str):

@@ -243,7 +243,7 @@ def frame_slice(spark, d):
 
 @query("SELECT vec_id, list_transform(embedding[1:8], lambda x: x::DOUBLE * 0.5)[3]::FLOAT AS third FROM embeddings")
 def float_cast(spark, d):
-    return t(spark, d, "embeddings").select("vec_id", (F.col("embedding")[2].cast("double") * 0.5).cast("float").alias("third"))
+    return features.float32(t(spark, d, "embeddings").select("vec_id", (F.col("embedding")[2].cast("double") * 0.5).alias("third")), ["third"])
 
 
 # --- quality
@@ -482,7 +482,7 @@ def sample_ids(spark, d):
 
 @query(f"SELECT c_custkey, c_name FROM customer WHERE c_custkey IN (SELECT c_custkey FROM customer ORDER BY {KEY}, c_custkey LIMIT 50)")
 def sample_rows(spark, d):
-    return t(spark, d, "customer").join(F.broadcast(sample_ids(spark, d)), "c_custkey", "left_semi").select("c_custkey", "c_name")
+    return ledger.keep_ids(t(spark, d, "customer"), sample_ids(spark, d), "c_custkey").select("c_custkey", "c_name")
 
 
 @query(f"SELECT c_custkey, CASE WHEN r < floor(n * 0.7::DOUBLE) THEN 'train' WHEN r < floor(n * 0.7::DOUBLE) + floor(n * 0.15::DOUBLE) THEN 'val' ELSE 'test' END AS split FROM (SELECT c_custkey, row_number() OVER (ORDER BY {KEY} || '|' || c_custkey) - 1 AS r, count(*) OVER () AS n FROM customer)")
@@ -498,7 +498,7 @@ def batch_assign(spark, d):
 @query("SELECT o_orderkey, o_custkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')")
 def id_subset_semi(spark, d):
     ids = t(spark, d, "customer").filter("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"))
-    return t(spark, d, "orders").join(ids, "o_custkey", "left_semi").select("o_orderkey", "o_custkey")
+    return ledger.keep_ids(t(spark, d, "orders"), ids, "o_custkey").select("o_orderkey", "o_custkey")
 
 
 @query("SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderstatus = 'F' ORDER BY o_orderkey LIMIT 20")

@@ -28,17 +28,18 @@ def scan_files(spark: SparkSession, root: str, schema: str, glob: str = "*.parqu
     return df.select("*", paths.plain(F.col("_metadata.file_path")).alias("path"))
 
 
-def read_report(located: DataFrame, key: str, root: str, schema: str, required: str) -> DataFrame:
+def read_report(located: DataFrame, key: str, root: str, schema: str, required: str, verify: bool = True) -> DataFrame:
     """located (key, path) with rows, bytes and error (NULL for a series that can be read whole); stored.
 
     Three looks at the files: the listing says which are there, footers alone say how many rows each
-    promises, and one scan of the schema's columns says how many it delivers.
+    promises, and one scan of the schema's columns says how many it delivers.  Without verify that scan is of the
+    required column alone: pages of others that are damaged are then not found.
     """
     spark = located.sparkSession
     listing = list_files(spark, root, "*.parquet").select(paths.plain(F.col("path")).alias("path"), F.col("length").alias("bytes"))
     promised = scan_files(spark, root, schema).groupBy("path").agg(F.count("*").alias("promised"))
     data = scan_files(spark, root, schema)
-    touched = sum((F.count(F.col(f"`{c}`")) for c in data.columns if c != "path"), F.lit(0))  # decodes every column
+    touched = sum((F.count(F.col(f"`{c}`")) for c in data.columns if c != "path" and (verify or c == required)), F.lit(0))  # decodes every column
     delivered = data.groupBy("path").agg(F.count("*").alias("rows"), F.count(F.col(f"`{required}`")).alias("filled"), touched.alias("touched"))
     out = located.join(listing, "path", "left").join(promised, "path", "left").join(delivered, "path", "left")
     got = F.when(F.col("touched") >= 0, F.col("rows")).otherwise(0)  # touched keeps its columns in the scan
@@ -77,17 +78,18 @@ class Loaded:
             yield self.frames.join(placed.filter(F.col("batch_id") == k).select(self.key), self.key, "left_semi")
 
 
-def load_series(spark: SparkSession, catalogue: DataFrame, root: str, schema: str, key: str = "replay_id", output: str = "output_path", required: str = "frame", cache_dir: str | None = None) -> Loaded:
+def load_series(spark: SparkSession, catalogue: DataFrame, root: str, schema: str, key: str = "replay_id", output: str = "output_path", required: str = "frame", cache_dir: str | None = None, verify: bool = True) -> Loaded:
     """All series of a catalogue whose files are below root: good ones as frames, the others as errors.
 
     Paths are found by the loading rules (paths.locate_parsed with data_dir = root).  A series is loaded whole or not at
     all: a file that breaks off is an error, and none of its rows are returned.  A key that schema has too
-    is replaced by the catalogue's.  Repeated keys are taken once; a NULL key gives no row.
+    is replaced by the catalogue's.  Repeated keys are taken once; a NULL key gives no row.  verify reads the
+    schema's columns once more than the frames are read; without it only the required column.
     """
     listing = list_files(spark, root, "*.parquet")
     wanted = catalogue.filter(F.col(key).isNotNull())
     located = paths.locate_parsed(wanted, listing, key, output, plain_root(root), cache_dir).select(key, "path")
-    report = read_report(located, key, root, schema, required)
+    report = read_report(located, key, root, schema, required, verify)
     good = report.filter("error is null").select(F.col(key).alias("__key"), "path")
     data = scan_files(spark, root, schema)
     frames = data.join(good, "path").withColumn(key, F.col("__key")).drop("__key", "path")

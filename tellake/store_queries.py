@@ -16,7 +16,7 @@ from .queries import SEGS, SIZE, STRIDE, WINS, frames, query, segs, t
 from .sources import trees, writing
 from .sources import frames as sources
 from .sources.loading import load_sample, load_series
-from .streaming.incremental import Store, retry_failed, run_pending
+from .streaming.incremental import Store, drain_to_store, retry_failed, run_pending
 
 # --- loading and paths
 
@@ -110,6 +110,36 @@ def stored_sizes(spark, d):
     return sources.file_sizes(t(spark, d, "documents").select("doc_id"), listing, "doc_id")
 
 
+def lines_of(content):
+    """A decoder for documents: their lines are frames of (characters, words); an empty one is broken, one line alone is flat."""
+    text = content.decode()
+    if not text:
+        raise ValueError("empty")
+    rows = [[float(len(line)), float(len(line.split(" ")))] for line in text.split("\n")]
+    return {"lines": len(rows)}, rows if len(rows) > 1 else rows[0]
+
+
+@query("""WITH d AS (SELECT doc_id, text, len(string_split(text, chr(10))) AS n FROM documents)
+ SELECT doc_id::VARCHAR AS path, text <> '' AND n > 1 AS ok, CASE WHEN text IS NULL THEN 'File not found: ' || doc_id WHEN text = '' THEN 'Parsing failed: empty' WHEN n = 1 THEN 'Expected 2D array, got 1D' END AS error,
+ CASE WHEN text <> '' THEN n END AS lines, CASE WHEN text IS NULL OR text = '' THEN -1 WHEN n = 1 THEN 2 ELSE n END::BIGINT AS num_frames, CASE WHEN n > 1 THEN n END AS frames,
+ CASE WHEN n > 1 THEN list_sum(list_transform(string_split(text, chr(10)), lambda x: length(x)))::BIGINT END AS chars FROM d""")
+def decode_outcomes(spark, d):
+    """Documents as raw files through a decoder: outcomes with metadata, and the frames that the same pass gives."""
+    files = t(spark, d, "documents").select(F.col("doc_id").cast("string").alias("path"), F.col("text").cast("binary").alias("content"))
+    both = sources.stored(sources.decode(files, lines_of))
+    frames_of = both.filter("frame is not null").groupBy("path").agg(F.count("*").alias("frames"), F.sum(F.col("values")[0]).cast("long").alias("chars"))
+    out = both.filter("frame is null").join(frames_of, "path", "left")
+    return out.select("path", "ok", "error", F.get_json_object("metadata", "$.lines").cast("long").alias("lines"), "num_frames", "frames", "chars")
+
+
+@query("SELECT event_type AS replay_id, count(*) AS n, count(DISTINCT user_id) AS users, max(event_id) AS last FROM events GROUP BY 1")
+def sidecar_roundtrip(spark, d):
+    side = t(spark, d, "events").groupBy(F.col("event_type").alias("replay_id")).agg(F.count("*").alias("n"), F.struct(F.countDistinct("user_id").alias("users"), F.max("event_id").alias("last")).alias("more"))
+    root = shared_folder(spark, "sidecars")
+    sources.write_sidecar(side, root)
+    return sources.read_sidecar(spark, root, "replay_id string, n long, more struct<users:long,last:long>").select("replay_id", "n", "more.users", "more.last")
+
+
 # --- long layout, casts
 
 V = "list_slice(list_concat(embedding, embedding, embedding), 1, 22 + 24 * n)"
@@ -297,6 +327,35 @@ def incremental_ledger(spark, d):
     return store.state().join(tries, "id").join(read, "id", "left").select("id", F.col("parse_status").alias("status"), F.col("error_message").alias("error"), "frames", "tries")
 
 
+@query("""WITH l AS (SELECT l_orderkey AS k, count(*) AS n FROM lineitem GROUP BY 1)
+ SELECT o_orderkey AS id, CASE WHEN k IS NULL THEN 'failed' ELSE 'parsed' END AS status, n AS frames, (CASE WHEN k IS NULL AND o_orderstatus <> 'P' THEN 2 ELSE 1 END)::BIGINT AS tries FROM orders LEFT JOIN l ON k = o_orderkey""")
+def incremental_stream(spark, d):
+    """Orders arrive as files, finished and open ones twice; the stream drains after each arrival, and a call without news does nothing."""
+    root = shared_folder(spark, "stream")
+    orders = t(spark, d, "orders").select(F.col("o_orderkey").alias("id"), "o_orderstatus")
+    lines = t(spark, d, "lineitem").select(F.col("l_orderkey").alias("id"), F.col("l_linenumber").cast("long").alias("frame"), F.col("l_quantity").alias("v"))
+
+    def work(raw):
+        mine = lines.join(raw.select("id"), "id", "left_semi")
+        there = mine.select("id").distinct().withColumn("ok", F.lit(True))
+        return mine, raw.select("id").join(there, "id", "left").select("id", F.when(F.col("ok").isNull(), "no frames").alias("error"))
+
+    store = Store(spark, f"{root}/store", "id", "long", "id long, frame long, v double")
+    for arrival in (orders.filter("o_orderstatus <> 'P'"), orders):
+        arrival.write.mode("append").parquet(f"{root}/source")
+        drain_to_store(store, f"{root}/source", "id long, o_orderstatus string", work, f"{root}/checkpoint")
+    drain_to_store(store, f"{root}/source", "id long, o_orderstatus string", work, f"{root}/checkpoint")
+    tries = store.events().groupBy("id").agg(F.count("*").alias("tries"))
+    read = store.frames().groupBy("id").agg(F.count("*").alias("frames"))
+    return store.state().join(tries, "id").join(read, "id", "left").select("id", F.col("parse_status").alias("status"), "frames", "tries")
+
+
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders) ORDER BY c_custkey LIMIT 30")
+def missing_boundaries_first(spark, d):
+    cut = t(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    return segments.missing_boundaries(t(spark, d, "customer").select("c_custkey"), cut, "c_custkey", limit=30)
+
+
 # --- trees and metadata
 
 

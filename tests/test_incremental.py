@@ -49,7 +49,7 @@ def test_pending_runs_and_retries(spark, tmp_path):
     assert seen(store) == ([], [])
     assert incremental.run_pending(store, raw, work([2, 5])) == 0
     assert seen(store) == want([0, 1, 3, 4, 6, 7, 8, 9], [2, 5])
-    assert tuple(store.result(0).first())[:5] == (10, 8, 0, 2, sum(3 + i % 4 for i in (0, 1, 3, 4, 6, 7, 8, 9)))
+    assert tuple(store.result("run", 0).first())[:5] == (10, 8, 0, 2, sum(3 + i % 4 for i in (0, 1, 3, 4, 6, 7, 8, 9)))
     assert incremental.run_pending(store, raw_rows(spark, range(14)), work([5, 12]), limit=4) == 1  # 2, 5, 10, 11
     assert seen(store) == want([0, 1, 2, 3, 4, 6, 7, 8, 9, 10, 11], [5])
     assert incremental.retry_failed(store, raw, work([])) == 1
@@ -90,6 +90,20 @@ def test_stream_killed_between_sinks(spark, tmp_path):
     assert store.events().filter("id = 3").count() == 2 and store.events().filter("id = 4").count() == 1
 
 
+def test_runs_and_streams_share_a_store(spark, tmp_path):
+    """Each lane numbers its own batches: none is taken for another's, and the last parse of a series counts."""
+    source = f"file://{tmp_path}/src"
+    store = incremental.Store(spark, f"file://{tmp_path}/s", "id", "long", FRAMES)
+    raw_rows(spark, range(4)).write.parquet(source)
+    incremental.run_pending(store, raw_rows(spark, [0, 10]), work([0]))
+    with pytest.raises(Exception):
+        incremental.drain_to_store(store, source, "id long, n long", work([]), f"file://{tmp_path}/check", between=kill)
+    incremental.run_pending(store, raw_rows(spark, [11]), work([]))
+    incremental.drain_to_store(store, source, "id long, n long", work([]), f"file://{tmp_path}/check")
+    assert seen(store) == want([0, 1, 2, 3, 10, 11], [])
+    assert store.committed() == [(0, "run", 0), (1, "run", 1), (2, "stream", 0)]
+
+
 def test_inventory_and_rerun(spark, tmp_path):
     frames, _ = work([])(raw_rows(spark, range(20)))
     for per_series in (False, True):
