@@ -60,7 +60,7 @@ def test_every_language_is_learned_whatever_the_ids(spark, ids):
 
 
 def test_sampling_stops_early_in_every_task(spark):
-    rows = spark.range(10).select((F.col("id") % 3).cast("string").alias("lang"), F.col("id").alias("h"))
+    rows = spark.range(1000).select((F.col("id") % 3).cast("string").alias("lang"), F.col("id").alias("h"))
     first = rows.select("lang", "h", F.row_number().over(Window.partitionBy("lang").orderBy("h")).alias("k")).filter("k <= 400")
     assert "WindowGroupLimit" in first._jdf.queryExecution().executedPlan().toString()
     assert language_id.fit(spark.createDataFrame([(1, "12 34", "en"), (2, None, "en"), (3, "abc", None)], "doc_id long, text string, lang string")).langs == []
