@@ -18,11 +18,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .blocks import id_array
-from .license_texts import TEMPLATES
+from .license_texts import TEMPLATES, default_templates  # noqa: F401
 from .words import ALNUM, LOWER, U, mix, slices, split_words, text_buffers, windows
 
 #: (width, stride) of windows in words, for templates of few and of many words
 WINDOWS, BANDS, SHINGLE = ((8, 4), (32, 8)), 32, 5
+#: a table of templates may hold so many bytes of text: they are broadcast, with about 100 bytes a byte of text
+TEMPLATE_BYTES = 4 << 20
 _SALTS = np.random.default_rng(99).integers(1, 1 << 63, BANDS, dtype=np.uint64) | U(1)
 
 
@@ -45,6 +47,7 @@ class Template:
         buf, offsets, _ = text_buffers(pa.array([text]))
         w = split_words(buf, offsets, ALNUM, LOWER).hash
         self.name, self.n_words, self.grams = name, len(w), np.unique(shingles(w))
+        self.skip = max(1, len(w) // 4)
         own = shingles(w)
         self.width = max([n for n, _ in WINDOWS if n <= len(w)], default=WINDOWS[0][0])
         starts = np.arange(max(1, len(w) - self.width + 1)) if len(own) else np.zeros(0, np.int64)
@@ -66,17 +69,32 @@ def text_shingles(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.
     return out, bounds
 
 
-def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] | None = None, containment: float = 0.8) -> DataFrame:
+def template_texts(templates: DataFrame | dict[str, str] | None) -> list[tuple[str, str]]:
+    """(name, text) of a table (name, text), a dictionary or, if None, the texts of license_texts, by name.
+
+    Rows without a name or a text are left out.  Tables of more than TEMPLATE_BYTES are an error: split them.
+    """
+    if templates is None or isinstance(templates, dict):
+        return sorted((default_templates() if templates is None else templates).items())
+    rows = templates.select(F.col("name").cast("string"), F.col("text").cast("string")).dropna()
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if size > TEMPLATE_BYTES:
+        raise ValueError(f"templates hold {size} bytes of text; at most {TEMPLATE_BYTES} are scanned for at once")
+    return sorted(tuple(r) for r in rows.collect())
+
+
+def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: DataFrame | dict[str, str] | None = None, containment: float = 0.8) -> DataFrame:
     """Rows (doc_id, n_words, licenses, spans), one per input row.
 
-    licenses: sorted names of contained templates; spans: (name, from, to), the word range
-    in which each was verified first.  Words are [0-9a-z and non-ASCII]+ after A-Z became
+    templates: a table (name, text), a dictionary, or the texts of license_texts; several may share a name.
+    licenses: sorted names of contained templates; spans: (name, from, to), the word range of each place in which one
+    was verified: a place begins where the one before ended.  Words are [0-9a-z and non-ASCII]+ after A-Z became
     a-z.  Null or wordless text: nothing found.  A template of fewer than five words is found
     where its words stand in a row; a text of fewer than five words is its own one shingle.
     Templates without words match nothing.  Null and repeated ids are kept; ids are integers,
     or strings of them.  Other columns are not read.
     """
-    known = [Template(n, x) for n, x in sorted((TEMPLATES if templates is None else templates).items())]
+    known = [Template(n, x) for n, x in template_texts(templates)]
     told = df.sparkSession.sparkContext.broadcast([x for x in known if len(x.grams)])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -108,25 +126,35 @@ def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     hit = np.minimum(np.searchsorted(values, sign), len(values) - 1)
                     rows, bands = np.nonzero(values[hit] == sign)
                     tried: set[tuple[int, int]] = set()
+                    lost: dict[tuple[int, int], int] = {}  # up to where a template cannot be
                     for r, b in zip(rows.tolist(), bands.tolist()):
                         for k in owner[hit[r, b] : np.searchsorted(values, sign[r, b], "right")].tolist():
-                            x, d = told.value[k], int(doc[r])
-                            if x.name in found[d] or (r, k) in tried:
+                            x, d, here = told.value[k], int(doc[r]), int(at[r])
+                            before = found[d].get(x.name)
+                            if (r, k) in tried or here < lost.get((d, k), 0) or (before and here < before[-1][1]):
                                 continue
                             tried.add((r, k))
-                            lo = max(0, int(at[r]) - x.n_words)
-                            hi = min(int(n_words[d]), int(at[r]) + width + x.n_words)
-                            own = grams[bounds[d] + min(lo, int(last[d] - bounds[d])) : max(bounds[d] + hi - SHINGLE + 1, bounds[d] + 1)]
-                            if np.isin(x.grams, own).mean() >= containment:
-                                found[d][x.name] = (lo, hi)
+
+                            def held(end: int) -> tuple[int, int, float]:
+                                """Share of the template's shingles in the words that an occurrence around a window from here to end can take."""
+                                lo, hi = max(0, here - x.n_words), min(int(n_words[d]), end + width + x.n_words)
+                                own = grams[bounds[d] + min(lo, int(last[d] - bounds[d])) : max(bounds[d] + hi - SHINGLE + 1, bounds[d] + 1)]
+                                return lo, hi, np.isin(x.grams, own).mean()
+
+                            if x.skip > width and held(here + x.skip)[2] < containment:
+                                lost[d, k] = here + x.skip  # nor at any window up to there
+                                continue
+                            lo, hi, share = held(here)
+                            if share >= containment:
+                                found[d].setdefault(x.name, []).append((lo, hi))
                 for x in short:  # fewer words than a shingle: looked for as a row of words
                     for p in np.flatnonzero(windows(w.hash, x.n_words) == x.grams[0]).tolist():
                         d = int(w.doc[p])
-                        if p + x.n_words <= w.first[d + 1] and x.name not in found[d]:
-                            found[d][x.name] = (p - int(w.first[d]), p - int(w.first[d]) + x.n_words)
+                        if p + x.n_words <= w.first[d + 1]:
+                            found[d].setdefault(x.name, []).append((p - int(w.first[d]), p - int(w.first[d]) + x.n_words))
                 yield pa.record_batch(
                     [pa.array(ids[i:j], mask=no_id[i:j]), pa.array(n_words), pa.array([sorted(f) for f in found], pa.list_(pa.string())),
-                     pa.array([[{"name": n, "from": a, "to": b} for n, (a, b) in sorted(f.items())] for f in found], pa.list_(pa.struct([("name", pa.string()), ("from", pa.int32()), ("to", pa.int32())])))],
+                     pa.array([[{"name": n, "from": a, "to": b} for n, places in sorted(f.items()) for a, b in sorted(places)] for f in found], pa.list_(pa.struct([("name", pa.string()), ("from", pa.int32()), ("to", pa.int32())])))],
                     names=["doc_id", "n_words", "licenses", "spans"])
 
     slim = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))

@@ -1,4 +1,10 @@
-"""License texts and notices to scan for: the table that scan_licenses() takes by default (name, text)."""
+"""License texts and notices to scan for: the table that scan_licenses() takes by default (name, text).
+
+Notices, grants and short texts stand here; the whole texts of longer public licenses are the files of the folder
+licenses, each named by its license.
+"""
+
+from pathlib import Path
 
 #: fixed values: full texts, headers and short notices of public licenses
 TEMPLATES = {
@@ -50,3 +56,9 @@ Permission is granted to anyone to use this software for any purpose, including
     "CC-BY-NC-4.0 (line)": "Licensed under CC BY-NC 4.0.",
     "CC-BY-4.0 (line)": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
 }
+
+
+def default_templates() -> dict[str, str]:
+    """TEMPLATES and the whole texts of the folder, the latter as `<license> (text)`."""
+    folder = Path(__file__).parent / "licenses"
+    return TEMPLATES | {f"{f.stem} (text)": f.read_text(encoding="utf-8", errors="replace") for f in sorted(folder.glob("*.txt"))}
