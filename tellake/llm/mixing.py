@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import materialize
+from .store import all_columns, broadcast_if_small, drop, materialize
 
 BINS = 1024
 #: natural logarithms of keys: those of u = 1 - 2**-54 at quality 1 and of u = 2**-54 at quality 1e-6 lie within
@@ -70,7 +70,9 @@ def thresholds(rows: DataFrame, shares: DataFrame) -> DataFrame:
     """Rows (__source, source_size, target, epochs, cut_bin, cut_key, cut_part) from keyed rows.
 
     Documents below cut_bin, or in it with a key below cut_key, are taken once more than
-    epochs; of the document with cut_key the share cut_part still fits.
+    epochs; of the document with cut_key the share cut_part still fits.  shares is materialised, and removed here.
+    The plan has one row a source: it is broadcast if it is small, so that a source with a third of all rows is not
+    one task of the joins with it.
     """
     plan = shares.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("int"))
     plan = plan.withColumn("rest", F.when(F.col("source_size") > 0, F.col("target") - F.col("epochs") * F.col("source_size")).otherwise(0.0))
@@ -94,7 +96,9 @@ def thresholds(rows: DataFrame, shares: DataFrame) -> DataFrame:
     at = tied.withColumn("upto", run).filter(F.col("upto") >= F.col("rest2")).groupBy("__source").agg(
         F.min(F.struct("__key", (F.col("rest2") - F.col("upto") + F.col("size")).alias("fits"), "size")).alias("at"))
     cut = at.select("__source", F.col("at.__key").alias("cut_key"), (F.col("at.fits") / F.col("at.size")).alias("cut_part"))
-    return materialize(second.join(cut, "__source", "left").select("__source", "source_size", "target", "epochs", "cut_bin", "cut_key", "cut_part"), "mix-plan")
+    whole = materialize(second.join(cut, "__source", "left").select("__source", "source_size", "target", "epochs", "cut_bin", "cut_key", "cut_part"), "mix-plan")
+    drop(first, second, shares)
+    return broadcast_if_small(whole)
 
 
 def extra_part() -> Column:
@@ -127,9 +131,9 @@ def mixed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     text has no words and is never taken beyond complete epochs of its source; a null source is a
     source.  Columns of df may have any names.
     """
-    whole = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(source_col).cast("string").alias("source"), *([] if quality is None else [quality.alias("__weight")]))
+    whole = df.select(F.struct(*all_columns(df)).alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(source_col).cast("string").alias("source"), *([] if quality is None else [quality.alias("__weight")]))
     rows = keyed(whole, "doc_id", "text", "source", None if quality is None else F.col("__weight"), seed)
     slim = materialize(rows.select("source", "__size", "__source", "__key", "__bin"), "mix")
     plan = thresholds(slim, materialize(targets(slim, F.col("source"), weights), "mix-targets"))
-    out = rows.join(plan.drop("source_size", "target"), "__source").withColumn("__times", F.col("epochs") + (extra_part() >= 0.5).cast("int")).filter("__times > 0")
+    out = rows.join(plan.select("__source", "epochs", "cut_bin", "cut_key", "cut_part"), "__source").withColumn("__times", F.col("epochs") + (extra_part() >= 0.5).cast("int")).filter("__times > 0")
     return out.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))).select("row.*")
