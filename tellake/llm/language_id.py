@@ -20,12 +20,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .store import materialize
+from .store import materialize, quoted
 from .words import LOWER, slices, text_buffers
 
 BITS = 11
 WIDTH = 2 << BITS
 SLICE_TEXTS = 256
+SPARE = 8
 LENGTHS = np.array([8, 16, 32, 64, 128, 256, 512, 1024])
 _LETTER = LOWER.copy()
 _LETTER[:65] = _LETTER[91:97] = _LETTER[123:128] = 32
@@ -135,13 +136,26 @@ def floors_of(counts: np.ndarray, idf: np.ndarray, centroids: np.ndarray, quanti
 def sample_cuts(rows: DataFrame, sample_per_lang: int, sample_total: int) -> dict[str, int]:
     """For each language the hash up to which rows (lang, h) are its sample; at most sample_per_lang distinct hashes are.
 
-    Many languages share sample_total.  Ranks stop at the sample's size in every task before the exchange.  Equal
-    rows have equal hashes and are one vector of the sample; every language has one at least.
+    Many languages share sample_total.  Equal rows have equal hashes and are one vector of the sample; every language
+    has one at least.  Only hashes below a bound that about SPARE samples pass are ranked, so that no task ranks
+    more; languages with fewer there (of many equal rows) are ranked whole, as many rows a task as the sample has.
     """
-    langs = rows.select("lang").distinct().count()
-    most = max(1, min(sample_per_lang, sample_total // max(1, langs)))
-    first = rows.select("lang", "h", F.row_number().over(Window.partitionBy("lang").orderBy("h")).alias("k")).filter(F.col("k") <= most)
-    return {r["lang"]: r["cut"] for r in first.groupBy("lang").agg(F.max("h").alias("cut")).collect()}
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    if not counts:
+        return {}
+    most = max(1, min(sample_per_lang, sample_total // len(counts)))
+
+    def ranked(some: DataFrame) -> dict[str, tuple[int, int]]:
+        place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+        first = some.select("lang", "h", place.alias("k")).filter(F.col("k") <= most)
+        return {r["lang"]: (r["cut"], r["n"]) for r in first.groupBy("lang").agg(F.max("h").alias("cut"), F.count("*").alias("n")).collect()}
+
+    bound = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, min(1 << 63, int(SPARE * most / n * (1 << 64)) - (1 << 63)) - 1)])
+    found = ranked(rows.filter(F.col("h") <= bound[F.col("lang")]))
+    short = [lang for lang, n in counts.items() if found.get(lang, (0, 0))[1] < min(most, n)]
+    if short:
+        found |= ranked(rows.filter(F.col("lang").isin(short)))
+    return {lang: cut for lang, (cut, _) in found.items()}
 
 
 def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", n_centroids: int = 4, sample_per_lang: int = 400, quantile: float = 0.02, slack: float = 0.7, sample_total: int = 20_000) -> LanguageModel:
@@ -153,9 +167,9 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
     vectors that reach the driver, 8 kB each; every fourth of them is left out of the fit and sets the
     floors (all of them do both where they are fewer than 8).  No such rows: a model that rejects everything.
     """
-    text, lang = F.col(f"`{text_col}`").cast("string"), F.col(f"`{lang_col}`").cast("string")
+    text, lang = F.col(quoted(text_col)).cast("string"), F.col(quoted(lang_col)).cast("string")
     letter = text.rlike(r"\p{L}")
-    rows = df.select(text.alias("text"), lang.alias("lang"), F.xxhash64(F.col(f"`{id_col}`").cast("string"), text).alias("h")).filter(text.isNotNull() & lang.isNotNull() & letter)
+    rows = df.select(text.alias("text"), lang.alias("lang"), F.xxhash64(F.col(quoted(id_col)).cast("string"), text).alias("h")).filter(text.isNotNull() & lang.isNotNull() & letter)
     cut = sample_cuts(rows, sample_per_lang, sample_total)
     if not cut:
         return LanguageModel(np.zeros(WIDTH, np.float32), np.zeros((0, WIDTH), np.float32), [], np.zeros((0, len(LENGTHS))))
@@ -211,32 +225,36 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
 _FIT = ["part", "lang", "n", "vec"]
 
 
-def predict(df: DataFrame, model: LanguageModel, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Columns keep (default: all) of df, then lang_pred, score and rejected.
-
-    Null text or a text without letters: `und`, score 0, rejected.  A rejected text with
-    letters still names its nearest language.  Kept columns called like a result are replaced.
-    """
-    new = ["lang_pred", "score", "rejected"]
-    keep = [c for c in (df.columns if keep is None else keep) if c not in new]
+def _scored(df: DataFrame, model: LanguageModel, text_col: str, keep: list[str]) -> DataFrame:
+    """Rows (row: struct of the columns keep, lang_pred, score, rejected); columns of df may have any names."""
     told = df.sparkSession.sparkContext.broadcast(model)
-    columns = [df[f"`{c}`"] for c in keep]
+    row = F.struct(*(F.col(quoted(c)).alias(c) for c in keep)).alias("row")
     # a text that is kept anyway crosses to Python once
     once = text_col in keep and dict(df.dtypes)[text_col] == "string"
-    at = keep.index(text_col) if once else len(keep)
-    source = df.select(*columns) if once else df.select(*columns, df[f"`{text_col}`"].cast("string").alias("text of the prediction"))
+    at = keep.index(text_col) if once else 0
+    source = df.select(row) if once else df.select(row, F.col(quoted(text_col)).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            buf, offsets, _ = text_buffers(batch.column(at))
+            buf, offsets, _ = text_buffers(batch.column(0).field(at) if once else batch.column(1))
             for i, j in slices(offsets, texts=SLICE_TEXTS):
                 langs, score, rejected = told.value.predict(buf[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                yield pa.record_batch([*batch.slice(i, j - i).columns[: len(keep)], pa.array(langs), pa.array(score), pa.array(rejected)], names=[*keep, *new])
+                yield pa.record_batch([batch.column(0).slice(i, j - i), pa.array(langs), pa.array(score), pa.array(rejected)], names=["row", "lang_pred", "score", "rejected"])
 
-    schema = df.select(*columns).schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
+    schema = df.select(row).schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
     return source.mapInArrow(run, schema)
 
 
+def predict(df: DataFrame, model: LanguageModel, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """Columns keep (default: all) of df, then lang_pred, score and rejected.
+
+    Null text or a text without letters: `und`, score 0, rejected.  A rejected text with
+    letters still names its nearest language.  Kept columns called like a result are replaced.
+    """
+    new = ["lang_pred", "score", "rejected"]
+    return _scored(df, model, text_col, [c for c in (df.columns if keep is None else keep) if c not in new]).select("row.*", *new)
+
+
 def held_out(id_col: str = "doc_id", modulus: int = 4, remainder: int = 2):
     """Whether crc32 of the id as text leaves the remainder; false for a null id."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % modulus == remainder, F.lit(False))
@@ -252,10 +270,4 @@ def language_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
 def in_known_language(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """df without the rows that language identification rejects."""
     model = fit(df, id_col, text_col, lang_col)
-    clash = [c for c in df.columns if c in ("lang_pred", "score", "rejected")]
-    if not clash:
-        return predict(df, model, text_col).filter("not rejected").select(*(F.col(f"`{c}`") for c in df.columns))
-    # columns called like a result go through under other names
-    away = {c: f"{c} of the input" for c in clash}
-    moved = df.withColumnsRenamed(away)
-    return predict(moved, model, away.get(text_col, text_col)).filter("not rejected").select(*(F.col(f"`{away.get(c, c)}`").alias(c) for c in df.columns))
+    return _scored(df, model, text_col, df.columns).filter("not rejected").select("row.*")
