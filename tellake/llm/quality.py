@@ -11,7 +11,7 @@ of the language's base-passing texts as the third quartile is, LEAST_SPREAD at l
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .store import broadcast_if_small, drop, materialize
@@ -23,6 +23,8 @@ COMMON_SHARE = 0.01
 #: characters and words of the shortest texts that the two distances judge
 CHAR_MIN, WORD_MIN = 200, 100
 SPREADS, LEAST_SPREAD = 8.0, 0.01
+#: bins of a distance, and fine bins of a bin
+BINS = 1 << 16
 
 
 def common_words(df: DataFrame, text_col: str, lang_col: str) -> DataFrame:
@@ -113,14 +115,39 @@ def references(rows: DataFrame) -> DataFrame:
 
 
 def limits(scored: DataFrame) -> DataFrame:
-    """Rows (limit_lang, char_limit, word_limit) from the distances of each language's base-passing texts that are long enough for them."""
+    """Rows (limit_lang, char_limit, word_limit), materialised, from the distances of each language's base-passing texts that are long enough for them.
 
-    def limit(name: str, enough: Column) -> Column:
-        q = F.percentile_approx(F.when(enough, F.col(name)), F.array(F.lit(0.5), F.lit(0.75)), 10000)
-        return F.get(q, F.lit(0)) + SPREADS * F.greatest(F.lit(LEAST_SPREAD), F.get(q, F.lit(1)) - F.get(q, F.lit(0)))
-
-    good = scored.filter("not base_failed and lang is not null").groupBy(F.col("lang").alias("limit_lang"))
-    return good.agg(limit("char_distance", F.col("word_chars") >= CHAR_MIN).alias("char_limit"), limit("word_distance", F.col("n_words") >= WORD_MIN).alias("word_limit"))
+    Quartiles come from counts by bin, then by fine bin of those bins in which they lie, so they do not depend on how the
+    rows lie and no task orders a language: the largest distance of the fine bin stands for the quartile in it.
+    """
+    char = F.when(F.col("word_chars") >= CHAR_MIN, F.col("char_distance"))
+    word = F.when(F.col("n_words") >= WORD_MIN, F.col("word_distance"))
+    good = scored.filter("not base_failed and lang is not null")
+    both = [good.select("lang", F.lit(k).alias("kind"), d.alias("d")).filter("d is not null") for k, d in ((0, char), (1, word))]
+    fine = F.least(F.lit(BINS * BINS - 1), F.floor(F.col("d") * (BINS * BINS)))
+    rows = both[0].unionByName(both[1]).withColumn("fine", fine).withColumn("bin", F.floor(F.col("fine") / BINS))
+
+    def crossed(counts: DataFrame, keys: list[str], bin_name: str) -> DataFrame:
+        """The first bin of each group at which the rows so far reach the place, with the rows before it."""
+        upto = F.sum("n").over(Window.partitionBy(*keys).orderBy(bin_name))
+        reached = counts.withColumn("upto", upto).filter(F.col("upto") >= F.col("place"))
+        return reached.groupBy(*keys).agg(F.min(F.struct(bin_name, (F.col("place") - F.col("upto") + F.col("n")).alias("left"), "top")).alias("at"))
+
+    coarse = materialize(rows.groupBy("lang", "kind", "bin").agg(F.count("*").alias("n"), F.max("d").alias("top")), "distances")
+    total = coarse.groupBy("lang", "kind").agg(F.sum("n").alias("total"))
+    wanted = total.select("lang", "kind", F.explode(F.array(F.lit(2), F.lit(3))).alias("quarter"), "total").withColumn("place", F.ceil(F.col("total") * F.col("quarter") / 4))
+    first = crossed(coarse.join(wanted, ["lang", "kind"]), ["lang", "kind", "quarter"], "bin")
+    first = materialize(first.select("lang", "kind", "quarter", "at.bin", F.col("at.left").alias("place")), "quarters")
+    inside = rows.join(broadcast_if_small(first), ["lang", "kind", "bin"]).groupBy("lang", "kind", "quarter", "fine").agg(F.count("*").alias("n"), F.max("d").alias("top"), F.first("place").alias("place"))
+    at = crossed(inside, ["lang", "kind", "quarter"], "fine").select("lang", "kind", "quarter", F.col("at.top").alias("value"))
+
+    def limit(kind: int) -> Column:
+        half, most = (F.max(F.when((F.col("kind") == kind) & (F.col("quarter") == q), F.col("value"))) for q in (2, 3))
+        return half + SPREADS * F.greatest(F.lit(LEAST_SPREAD), most - half)
+
+    out = materialize(at.groupBy(F.col("lang").alias("limit_lang")).agg(limit(0).alias("char_limit"), limit(1).alias("word_limit")), "limits")
+    drop(coarse, first)
+    return out
 
 
 def quality_verdicts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
@@ -139,7 +166,7 @@ def quality_verdicts(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         jensen_shannon(share("char_hist"), F.col("ref_chars")).alias("char_distance"), jensen_shannon(share("word_hist"), F.col("ref_words")).alias("word_distance"))
     scored = materialize(scored, "scored")
     drop(rows)
-    bounds = broadcast_if_small(materialize(limits(scored), "limits"))
+    bounds = broadcast_if_small(limits(scored))
     odd = ((F.col("word_chars") >= CHAR_MIN) & (F.col("char_distance") > F.col("char_limit"))) | ((F.col("n_words") >= WORD_MIN) & (F.col("word_distance") > F.col("word_limit")))
     kept = ~F.col("base_failed") & ~F.coalesce(odd, F.lit(False))
     out = scored.join(bounds, scored.lang == bounds.limit_lang, "left")
