@@ -22,9 +22,11 @@ from math import comb, prod
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .store import drop, materialize, quoted
+
 #: fixed values of the integer form floor(SCALE * c) + SHIFT
 SCALE, SHIFT = 64, 1_000_000
 #: vectors with larger integers are left out, as their scatter would not fit
@@ -34,24 +36,59 @@ ROOT_BITS, DIGITS, ROUNDS = 160, 110, 3
 OUT_ROWS = 1 << 17
 
 
-def integer_vector(vector: Column) -> Column:
-    """array<bigint> of a numeric vector, or NULL if it is NULL or has an entry that is NULL, NaN, infinite or beyond MOST."""
-    c = vector.cast("array<double>")
-    fine = F.forall(c, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < MOST / SCALE / 2))
-    return F.when(fine, F.transform(c, lambda v: F.floor(v * SCALE) + SHIFT))
-
-
-def usual_length(rows: DataFrame) -> int:
-    """The commonest length of x (the longest of equally common ones); 0 for no rows."""
-    top = rows.groupBy(F.size("x").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
-    return top["d"] if top else 0
+def integer_rows(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(rows, lengths, values): which vectors of a list<double> column count, their lengths, and their integers end to end.
 
+    A vector counts if it is not NULL and has no entry that is NULL, NaN, infinite or beyond MOST.
+    """
+    there = ~np.asarray(column.is_null())
+    lengths = np.zeros(len(column), np.int64)
+    lengths[there] = column.drop_null().value_lengths().to_numpy(zero_copy_only=False)
+    c = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)  # NULL entries become NaN
+    bad = ~(np.abs(c) < MOST / SCALE / 2)
+    fine = there
+    if bad.any():
+        upto = np.r_[0, np.cumsum(bad)]
+        stop = np.cumsum(lengths)
+        fine = there & (upto[stop] == upto[stop - lengths])
+        c = c[np.repeat(fine, lengths)]
+    return np.flatnonzero(fine), lengths[fine], np.floor(c * SCALE).astype(np.int64) + SHIFT
+
+
+def matrix_of(column: pa.Array, d: int) -> tuple[np.ndarray, np.ndarray]:
+    """(rows, x): which vectors of a column count and have length d, and their integers as rows."""
+    rows, lengths, values = integer_rows(column)
+    own = lengths == d
+    return rows[own], (values if own.all() else values[np.repeat(own, lengths)]).reshape(int(own.sum()), d)
+
+
+def totals(vectors: DataFrame) -> tuple[int, int, list[int]]:
+    """(d, n, sums): the commonest length of the vectors that count (the longest of equally common ones), how many have it, and their exact sum.
+
+    A task sends one row a length and place; no vectors, or empty ones: zeros.
+    """
 
-def totals(rows: DataFrame, d: int) -> tuple[int, list[int]]:
-    """Number of vectors of length d and their sum by dimension, exact."""
-    sums = rows.select(F.posexplode("x").alias("at", "v")).groupBy("at").agg(F.count("*").alias("n"), F.sum(F.col("v").cast("decimal(20,0)")).alias("s")).collect()
-    by = {r["at"]: r for r in sums}
-    return (by[0]["n"] if by else 0), [int(by[k]["s"]) for k in range(d)] if by else []
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[int, list] = {}
+        for batch in batches:
+            _, lengths, values = integer_rows(batch.column(0))
+            for d in np.unique(lengths).tolist():
+                own = lengths == d
+                x = values[np.repeat(own, lengths)].reshape(int(own.sum()), d)
+                low = (x & ((1 << 30) - 1)).sum(axis=0)  # two halves, as a sum of large integers may not fit
+                total = [(int(h) << 30) + int(v) for h, v in zip((x >> 30).sum(axis=0), low)]
+                had = seen.setdefault(d, [0, [0] * d])
+                seen[d] = [had[0] + len(x), [p + q for p, q in zip(had[1], total)]]
+        for d, (n, sums) in seen.items():
+            yield pa.record_batch([pa.array([d] * (d + 1), pa.int32()), pa.array(range(-1, d), pa.int32()), pa.array([Decimal(n), *map(Decimal, sums)], pa.decimal128(38, 0))], names=["d", "at", "s"])
+
+    sent = materialize(vectors.mapInArrow(run, "d int, at int, s decimal(38,0)").groupBy("d", "at").agg(F.sum("s").alias("s")), "vector-sums")
+    top = sent.filter("at < 0").orderBy(F.desc("s"), F.desc("d")).first()
+    if top is None or not top["d"]:
+        return 0, 0, []
+    by = {r["at"]: int(r["s"]) for r in sent.filter(F.col("d") == top["d"]).collect()}
+    drop(sent)
+    return top["d"], by[-1], [by[k] for k in range(top["d"])]
 
 
 def exact_gram(y: np.ndarray) -> np.ndarray:
@@ -68,11 +105,7 @@ def exact_gram(y: np.ndarray) -> np.ndarray:
     return out
 
 
-def matrix_of(column: pa.Array, d: int) -> np.ndarray:
-    return np.asarray(column.flatten().to_numpy(zero_copy_only=False), np.int64).reshape(-1, d)
-
-
-def scatter(rows: DataFrame, d: int, n: int, sums: list[int]) -> tuple[list[list[int]], list[int]]:
+def scatter(vectors: DataFrame, d: int, n: int, sums: list[int]) -> tuple[list[list[int]], list[int]]:
     """(M, centre): M[i][j] = n * n * covariance, exact; centre is the mean rounded to integers, taken off before multiplying.
 
     Each task sends d * (d + 1) / 2 numbers, summed by place in Spark.
@@ -82,7 +115,7 @@ def scatter(rows: DataFrame, d: int, n: int, sums: list[int]) -> tuple[list[list
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got = np.zeros((d, d), object)
         for batch in batches:
-            y = matrix_of(batch.column(0), d) - np.array(centre, np.int64)
+            y = matrix_of(batch.column(0), d)[1] - np.array(centre, np.int64)
             for at in range(0, len(y), ROWS):
                 got += exact_gram(y[at : at + ROWS])
         i, j = np.triu_indices(d)
@@ -92,7 +125,7 @@ def scatter(rows: DataFrame, d: int, n: int, sums: list[int]) -> tuple[list[list
             yield pa.record_batch([pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), pa.array(np.full(len(i), part, np.int32)), pa.array(low.astype(np.int64))], names=["i", "j", "part", "v"])
             rest, part = (rest - low) >> PART, part + 1
 
-    sent = rows.select("x").mapInArrow(run, "i int, j int, part int, v long")
+    sent = vectors.mapInArrow(run, "i int, j int, part int, v long")
     rest = [s - n * c for s, c in zip(sums, centre)]
     m = [[-rest[i] * rest[j] for j in range(d)] for i in range(d)]
     for r in sent.groupBy("i", "j", "part").agg(F.sum(F.col("v").cast("decimal(20,0)")).alias("v")).collect():
@@ -320,32 +353,34 @@ def whiten(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
     """
     spark, kind = df.sparkSession, df.schema[id_col].dataType.simpleString()
     out = f"`{id_col}` {kind}, component int, n long, deviation long, whitened double, explained double, identity_error double"
-    rows = df.select(F.col(f"`{id_col}`").alias("id"), integer_vector(F.col(f"`{vector_col}`")).alias("x")).filter("x is not null")
-    d = usual_length(rows)
-    rows = rows.filter(F.size("x") == d)
-    n, sums = totals(rows, d) if d else (0, [])
-    m, centre = scatter(rows, d, n, sums) if n else ([], [])
-    vectors, std, share = components(spark, m, n, most) if n else (np.zeros((0, 0)), np.zeros(0), np.zeros(0))
+    rows = df.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(vector_col)).cast("array<double>").alias("x"))
+    vectors = rows.select("x").filter("x is not null")
+    d, n, sums = totals(vectors)
+    m, centre = scatter(vectors, d, n, sums) if n else ([], [])
+    axes, std, share = components(spark, m, n, most) if n else (np.zeros((0, 0)), np.zeros(0), np.zeros(0))
     count = len(std)
     if not count:
         return spark.createDataFrame([], out)
     rest = [s - n * c for s, c in zip(sums, centre)]
     base, off = np.array(centre, np.int64), np.array([float(Fraction(r, n)) for r in rest])
-    to = vectors / std
+    to = axes / std
 
-    def projected(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        y = matrix_of(column, d) - base
-        return y, (y - off) @ to
+    def projected(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        at, x = matrix_of(column, d)
+        y = x - base
+        return at, y, (y - off) @ to
 
     def gram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         i, j = np.triu_indices(count)
         for batch in batches:
-            _, w = projected(batch.column(0))
+            _, _, w = projected(batch.column(0))
+            if not len(w):
+                continue
             mean = w.mean(axis=0)
             around = (w - mean).T @ (w - mean) + len(w) * np.outer(mean, mean)  # the mean of all is 0: no digits are lost
             yield pa.record_batch([pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), pa.array(around[i, j])], names=["i", "j", "v"])
 
-    covariance = rows.select("x").mapInArrow(gram, "i int, j int, v double").groupBy("i", "j").agg((F.sum("v") / n).alias("v"))
+    covariance = vectors.mapInArrow(gram, "i int, j int, v double").groupBy("i", "j").agg((F.sum("v") / n).alias("v"))
     error = covariance.agg(F.max(F.abs(F.col("v") - F.when(F.col("i") == F.col("j"), 1.0).otherwise(0.0)))).first()[0]
 
     def deviations(y: np.ndarray) -> pa.Array:
@@ -356,14 +391,17 @@ def whiten(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
         return pa.array([v if v < 1 << 63 else None for v in wide], pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step = OUT_ROWS // count + 1
         for batch in batches:
-            for at in range(0, batch.num_rows, OUT_ROWS // count + 1):
-                part = batch.slice(at, OUT_ROWS // count + 1)
-                y, w = projected(part.column(1))
-                each = pa.array(np.repeat(np.arange(len(y)), count))
+            for at in range(0, batch.num_rows, step):
+                part = batch.slice(at, step)
+                own, y, w = projected(part.column(1))
+                if not len(own):
+                    continue
+                each = np.repeat(np.arange(len(own)), count)
                 yield pa.record_batch(
-                    [part.column(0).take(each), pa.array(np.tile(np.arange(1, count + 1, dtype=np.int32), len(y))), pa.array(np.full(len(each), n)), deviations(y).take(each), pa.array(w.ravel()),
+                    [part.column(0).take(pa.array(own[each])), pa.array(np.tile(np.arange(1, count + 1, dtype=np.int32), len(y))), pa.array(np.full(len(each), n)), deviations(y).take(pa.array(each)), pa.array(w.ravel()),
                      pa.array(np.tile(share, len(y))), pa.array(np.full(len(each), error))],
                     names=[id_col, "component", "n", "deviation", "whitened", "explained", "identity_error"])
 
-    return rows.mapInArrow(run, out)
+    return rows.filter("x is not null").mapInArrow(run, out)
