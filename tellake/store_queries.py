@@ -39,6 +39,16 @@ def load_report(spark, d):
     return got.report.select("replay_id", "error").join(read, "replay_id", "left").select(F.col("replay_id").alias("id"), "rows", "total", "error")
 
 
+@query("SELECT o_custkey AS id, count(*) AS rows, true AS whole FROM orders GROUP BY 1")
+def written_inventory(spark, d):
+    """Orders written as series of their customers, several a file: rows of each, and whether the shares of bytes add up to the files."""
+    root = shared_folder(spark, "series")
+    writing.write_series(t(spark, d, "orders").select(F.col("o_custkey").alias("id"), F.col("o_orderkey").alias("frame"), "o_totalprice"), root, "id")
+    held = writing.inventory(spark, root, "id", "long")
+    size = sources.list_files(spark, root, "*.parquet").agg(F.sum("length")).first()[0]
+    return held.select("id", "rows", F.lit(held.agg(F.sum("bytes")).first()[0] == size).alias("whole"))
+
+
 @query("SELECT event_type AS id, count(*) AS rows FROM events WHERE event_type IN (SELECT id FROM (SELECT DISTINCT event_type AS id FROM events UNION ALL SELECT n_name FROM nation) ORDER BY md5('42|' || id), id LIMIT 12) GROUP BY 1")
 def load_sampled(spark, d):
     root, catalogue = written_types(spark, d)

@@ -18,6 +18,7 @@ from ..operators.storage import entries, exists, release, stored
 from ..sources.writing import inventory, write_series
 
 Work = Callable[[DataFrame], tuple[DataFrame, DataFrame]]
+Boundaries = Callable[[DataFrame], DataFrame]
 SUCCESS = ["output_path", "frame_count", "file_size_bytes"]
 
 
@@ -78,7 +79,7 @@ class Store:
         return df.filter(F.col("batch").isin(done))
 
     def events(self) -> DataFrame:
-        """The ledger's events of all committed batches; seq is the batch's place."""
+        """The ledger's events of all committed batches; seq is twice the batch's place, and one more for boundaries."""
         return self._read("ledger", self.event)
 
     def state(self) -> DataFrame:
@@ -91,11 +92,12 @@ class Store:
         good = self.state().filter("parse_status = 'parsed'").select(self.key)
         return self._read("frames", self.schema).join(last.join(good, self.key), [self.key, "batch"], "left_semi").drop("batch")
 
-    def commit(self, lane: str, number: int, frames: DataFrame, outcomes: DataFrame, index: str = "frame", between: Callable[[], None] | None = None) -> None:
+    def commit(self, lane: str, number: int, frames: DataFrame, outcomes: DataFrame, index: str = "frame", between: Callable[[], None] | None = None, boundaries: Boundaries | None = None) -> None:
         """Write a lane's batch: frames, then, from what the files hold, the ledger.  Nothing is done if the batch is committed.
 
         outcomes: rows (key, error), error NULL for success.  Only successes' frames are written; a success whose
-        frames are not in the files is recorded as failed.  between runs between the two sinks, for tests.
+        frames are not in the files is recorded as failed.  boundaries gives rows (key, boundaries) of the written
+        frames, to be recorded with them.  between runs between the two sinks, for tests.
         """
         done = self.committed()
         if any(b[1:] == (lane, number) for b in done):
@@ -111,33 +113,37 @@ class Store:
         rows = told.join(held, self.key, "left").withColumn("error", F.when(F.col("error").isNull() & F.col("rows").isNull(), "no frames were written").otherwise(F.col("error")))
         good = F.col("error").isNull()
         events = rows.select(
-            self.key, F.lit(place).cast("long").alias("seq"), F.when(good, "parsed").otherwise("failed").alias("event"), F.col(self.key).alias("raw_replay_id"), F.col("error").alias("error_message"),
+            self.key, F.lit(2 * place).cast("long").alias("seq"), F.when(good, "parsed").otherwise("failed").alias("event"), F.col(self.key).alias("raw_replay_id"), F.col("error").alias("error_message"),
             *[F.when(good, F.col(a)).alias(b) for a, b in (("output_path", "output_path"), ("rows", "frame_count"), ("bytes", "file_size_bytes"))], F.lit(None).cast("string").alias("segment_boundaries"))
+        if boundaries:
+            cuts = boundaries(self.spark.read.schema(self.schema).parquet(f"{self.root}/frames/{at}")).select(self.key, F.lit(2 * place + 1).cast("long").alias("seq"), F.lit("boundary").alias("event"), F.col("boundaries").alias("segment_boundaries"))
+            events = events.unionByName(cuts, allowMissingColumns=True)
         events.write.mode("overwrite").parquet(f"{self.root}/ledger/{at}")
         release(told)
 
     def result(self, lane: str, number: int) -> DataFrame:
         """Totals of a committed batch, as ledger.batch_result."""
-        e = self.events().filter(F.col("batch").endswith(f"-{lane}-{number}"))
+        e = self.events().filter(F.col("batch").endswith(f"-{lane}-{number}") & (F.col("event") != "boundary"))
         return ledger.batch_result(e.select(F.col("event").alias("outcome"), F.col("frame_count").alias("frames"), F.col("file_size_bytes").alias("bytes")))
 
 
-def _run(store: Store, rows: DataFrame, work: Work, index: str, between: Callable[[], None] | None = None, lane: str = "run", number: int | None = None) -> int:
+def _run(store: Store, rows: DataFrame, work: Work, index: str, between: Callable[[], None] | None = None, lane: str = "run", number: int | None = None, boundaries: Boundaries | None = None) -> int:
     number = max(store.numbers(lane), default=-1) + 1 if number is None else number
     left = stored(rows)
     frames, outcomes = work(left)
-    store.commit(lane, number, frames, outcomes, index, between)
+    store.commit(lane, number, frames, outcomes, index, between, boundaries)
     release(left)
     return number
 
 
-def run_pending(store: Store, raw: DataFrame, work: Work, limit: int | None = None, index: str = "frame", between: Callable[[], None] | None = None) -> int:
+def run_pending(store: Store, raw: DataFrame, work: Work, limit: int | None = None, index: str = "frame", between: Callable[[], None] | None = None, boundaries: Boundaries | None = None) -> int:
     """Work on the raw rows (column key) that are not parsed, failed ones again, and commit; returns the run's number.
 
-    work(raw rows) gives (frames, outcomes (key, error)).  A run that died is repeated under its number.
+    work(raw rows) gives (frames, outcomes (key, error)); boundaries(frames) gives rows (key, boundaries) to record
+    in the same batch.  A run that died is repeated under its number.
     """
     left = ledger.limited(pending(raw, store.state().filter("parse_status = 'parsed'"), store.key, store.key), store.key, limit)
-    return _run(store, left, work, index, between)
+    return _run(store, left, work, index, between, boundaries=boundaries)
 
 
 def retry_failed(store: Store, raw: DataFrame, work: Work, attempts: int = 3, index: str = "frame") -> int:

@@ -141,3 +141,17 @@ def test_shards(spark, tmp_path):
     assert all((m.first_place, m.last_place) == (r[0].place, r[-1].place) for m in manifest for r in [[x for x in read if x.shard == m.shard]])
     none = writing.shuffled_windows(frames.limit(0), cuts, "s", Chain([]), ["Ball - position x"], 4, 3)
     assert writing.write_shards(none, f"file://{tmp_path}/none").count() == 0
+
+
+def test_boundaries_are_recorded_with_their_frames(spark, tmp_path):
+    from tellake.operators import segments
+
+    def cut(frames):
+        return segments.boundaries_json(segments.segment_boundaries(frames, "id", F.col("frame") == 2, 1), "id")
+
+    store = incremental.Store(spark, f"file://{tmp_path}/s", "id", "long", FRAMES)
+    incremental.run_pending(store, raw_rows(spark, [1, 2]), work([2]), boundaries=cut)
+    incremental.run_pending(store, raw_rows(spark, [1, 2, 3]), work([]), boundaries=cut)
+    got = {r.id: (r.parse_status, r.segment_boundaries) for r in store.state().collect()}
+    assert got == {1: ("parsed", "[[0,2],[3,4]]"), 2: ("parsed", "[[0,2],[3,5]]"), 3: ("parsed", "[[0,2],[3,6]]")}
+    assert tuple(store.result("run", 1).first())[:4] == (2, 2, 0, 0) and seen(store)[1] == want([1, 2, 3], [])[1]
