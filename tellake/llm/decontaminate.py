@@ -5,8 +5,8 @@ sorted by term, each the positions at which the term occurs.  Positions of diffe
 documents never touch, so a phrase cannot cross a border.  It is written once; term
 frequencies over all shards come from it, and every phrase is looked up in each shard from
 its rarest term on: the rarest term's positions, shifted by its offset in the phrase, are
-the candidate starts, and the next rarer terms' shifted positions are intersected with
-them until all terms agree.  A phrase with a term that a shard lacks costs one lookup.
+the candidate starts; the other terms, rarest first, are looked up at their places after each
+start that is left, by the inverse of the postings.  A phrase with a term that a shard lacks costs one lookup.
 
 Phrases are a stated query set.  They reach the tasks in packed parts of bounded size
 (query_bytes), so a large benchmark costs more passes over the index, never more memory.
@@ -228,7 +228,7 @@ def contamination(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", t
 
     n_hit counts words inside any occurrence of a window of an item, items are the sorted
     distinct ids (as strings) of items with occurring windows.  Null or wordless text: no
-    words, no hits.  Null ids are kept.  Items that are null, have a null id or no words
+    words, no hits.  Null ids are kept; ids are integers, or strings of them, and others fail.  Items that are null, have a null id or no words
     match nothing; repeated items count once.
     """
     index = build_index(df, id_col, text_col)

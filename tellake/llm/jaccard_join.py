@@ -319,7 +319,8 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     smallest non-null doc_id reachable by links, itself included.  Null or wordless text:
     n_shingles 0, linked with nothing, component_id its own doc_id.  Null doc_id: the row
     is kept and linked; it is null only if its whole component has none.  Rows that repeat
-    a doc_id are documents of their own.  Other input columns are not read.
+    a doc_id are documents of their own.  Ids are integers, or strings of them; others fail.
+    Other input columns are not read.
     """
     docs = document_sets(df, id_col, text_col, n, num, den)
     reps = docs.filter("hashes is not null").dropDuplicates(["cls"]).select("cls", F.col("n_shingles").alias("n"), "hashes")

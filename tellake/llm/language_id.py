@@ -261,7 +261,10 @@ def held_out(id_col: str = "doc_id", modulus: int = 4, remainder: int = 2):
 
 
 def language_of(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """Rows (id, held_out, lang_pred, score, rejected), learned from rows that are not held out."""
+    """Rows (doc_id, held_out, lang_pred, score, rejected), one an input row, learned from rows that are not held out.
+
+    Null ids are never held out; rows that share an id are held out together and predicted each.
+    """
     model = fit(df.filter(~held_out(id_col)), id_col, text_col, lang_col)
     out = predict(df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), model, "text", ["doc_id"])
     return out.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score", "rejected")

@@ -91,7 +91,8 @@ def pack_documents(df: DataFrame, vocab_path: str, id_col: str = "doc_id", text_
     that the rows of a file are one id matrix.  Segment k is ids[cu_seqlens[k]:cu_seqlens[k+1]]
     and holds document doc_ids[k] from token doc_starts[k] on.  Positions restart from 0 at
     each of resets.  Each document ends with end_id unless None.  A null text has no tokens
-    and no segment; an empty one has its end_id alone.  Null and repeated ids are kept as they are.
+    and no segment; an empty one has its end_id alone.  Null and repeated ids are kept as they are; ids
+    are integers, or strings of them, and others fail.
     """
     told = df.sparkSession.sparkContext.broadcast(vocabulary(df.sparkSession, vocab_path))
     lines = told.value.count(b"\n") + 1

@@ -6,7 +6,9 @@ smallest hash among the level-sized windows inside it: equal windows have equal
 hashes, so a window whose stand-in occurs at one place only is dropped, and only those
 that are left go on to twice that length.  Stand-ins are few (about two in each
 length - level + 2 words), which keeps the first level's shuffle small.  On the last level
-the window stands for itself, and its smallest document id over all rows decides.
+the window stands for itself, and its smallest document id over all rows decides.  Doubling
+ends at `length`, as every longer repeated window is made of windows of that length, all of
+which are decided there already.
 """
 
 from __future__ import annotations
@@ -76,7 +78,8 @@ def repeated_spans(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     id, or earlier in the same row.  removed holds word ranges [from, to), kept_text the
     other words joined by one space.  Null or wordless text: no words, empty kept_text.
     A null id comes after all others; rows that share an id, or have none, do not remove
-    from each other.  Windows are compared by 64-bit hashes of their words.
+    from each other.  Windows are compared by 64-bit hashes of their words.  Ids are integers,
+    or strings of them; others fail.
     """
     rows = make_blocks(df, id_col, text_col)
     buckets = bucket_count(rows)
