@@ -35,7 +35,7 @@ def test_oracle(spark, db, name):
     assert got == want
 
 
-@pytest.mark.parametrize("name", ["segment_boundaries", "window_index", "window_frames", "normalize", "pending_anti", "event_fold"])
+@pytest.mark.parametrize("name", ["segment_boundaries", "window_index", "window_frames", "normalize", "pending_anti", "event_fold", "ledger_fold", "entity_layout", "locate_parsed", "locate_raw", "stored_windows", "mark_failed", "first_seen", "player_mapping", "json_flatten_all", "batch_report"])
 def test_plan(spark, name):
     plan = q.queries()[name](spark, D)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Cartesian" not in plan
