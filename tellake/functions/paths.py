@@ -23,11 +23,17 @@ def build_path(parts: Column, root: Column, include_root: Column | bool = False)
 
 
 def format_bytes(n: Column) -> Column:
-    """1023 B, 4.77 MB, ...: two decimals from KB on."""
+    """1023 B, 4.77 MB, ...: two decimals from KB on, a half to the even digit as C and Python print it; NULL stays NULL.
+
+    Division by a power of two is exact in a double, so halves are true halves; format_string alone would round them up.
+    """
     out = F.when(n < 1024, F.concat(n.cast("string"), F.lit(" B")))
-    for power, unit in ((1, "KB"), (2, "MB")):
-        out = out.when(n < 1024 ** (power + 1), F.format_string(f"%.2f {unit}", n / float(1024**power)))
-    return out.otherwise(F.format_string("%.2f GB", n / float(1024**3)))
+    for power, unit in ((1, "KB"), (2, "MB"), (3, "GB")):
+        x = n / float(1024**power)
+        whole = F.floor(x)
+        text = F.format_string(f"%.2f {unit}", whole + F.bround(x - whole, 2))
+        out = out.when(n < 1024 ** (power + 1) if power < 3 else n.isNotNull(), text)
+    return out
 
 
 def storage_key(components: Column, key: Column, extension: str = ".replay") -> Column:

@@ -81,6 +81,14 @@ def test_paths(spark):
     assert [r[0] for r in sizes.select(paths.format_bytes(F.col("n"))).collect()] == ["1023 B", "4.77 MB", "1.40 GB"]
 
 
+def test_sizes_halves_go_to_the_even_digit(spark):
+    whole = 5 << 30
+    numbers = [1024 + 128, 1024 + 384, 3 * 2**20 + 2**17, 3 * 2**20 + 7 * 2**17, whole + 2**27, whole + 3 * 2**27, 2**20 - 1, 7501799482976779177, None]
+    got = [r[0] for r in spark.createDataFrame([(n,) for n in numbers], "n long").select(paths.format_bytes(F.col("n"))).collect()]
+    assert got[:-1] == ["1.12 KB", "1.38 KB", "3.12 MB", "3.88 MB", "5.12 GB", "5.38 GB", "1024.00 KB", "6986595208.73 GB"]
+    assert got[-1] is None
+
+
 def test_states(spark):
     df = spark.createDataFrame([(3, 0, 0), (2, 1, 0), (0, 2, 0), (0, 0, 0), (0, 1, 1)], "ok int, bad int, skip int")
     got = df.select(ledger.group_state(F.col("ok"), F.col("bad")), ledger.group_state(F.col("ok"), F.col("bad"), F.col("skip"))).collect()
