@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import paths
 from ..operators import segments
@@ -68,14 +69,29 @@ def shuffled_windows(frames: DataFrame, cuts: DataFrame, series: str, chain: Cal
     return placed.select("place", F.floor(F.col("place") * shards / max(1, total)).cast("long").alias("shard"), series, "w_start", "matrix")
 
 
-def write_shards(windows: DataFrame, path: str) -> DataFrame:
-    """Write shuffled_windows, one file a shard, rows in order; returns the manifest (shard, path, rows, first_place, last_place, bytes).
+def save_shards(windows: DataFrame, path: str) -> None:
+    """Write shuffled_windows, one file a shard, rows in order; a rerun replaces all.
 
-    A rerun replaces all.  The manifest is read back from the files, so it states what is there.
+    Tasks are as many as shuffle partitions, each writes its shards one after the other: what tasks report to
+    the driver does not grow with the shards.
     """
-    spark = windows.sparkSession
-    shards = (windows.agg(F.max("shard")).first()[0] or 0) + 1
-    windows.withColumn("part", F.col("shard")).repartition(shards, "shard").sortWithinPartitions("shard", "place").write.mode("overwrite").partitionBy("part").parquet(path)
-    held = scan_files(spark, path, "shard long, place long").groupBy("shard", "path").agg(F.count("*").alias("rows"), F.min("place").alias("first_place"), F.max("place").alias("last_place"))
-    sizes = list_files(spark, path, "*.parquet").select(paths.plain(F.col("path")).alias("path"), F.col("length").alias("bytes"))
-    return held.join(sizes, "path").select("shard", "path", "rows", "first_place", "last_place", "bytes")
+    tasks = int(windows.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    windows.withColumn("part", F.col("shard")).repartition(tasks, "part").sortWithinPartitions("part", "place").write.mode("overwrite").partitionBy("part").parquet(path)
+
+
+def read_shards(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
+    """Rows of the shards below path with their file's path and bytes.  The folders are listed once, however often the rows are read."""
+    df = spark.read.schema(schema).options(recursiveFileLookup=True, pathGlobFilter="*.parquet").parquet(path)
+    return df.select("*", paths.plain(F.col("_metadata.file_path")).alias("path"), F.col("_metadata.file_size").alias("bytes"))
+
+
+def manifest_of(rows: DataFrame) -> DataFrame:
+    """The manifest (shard, path, rows, first_place, last_place, bytes) of read_shards: it states what is there."""
+    held = rows.groupBy("shard", "path").agg(F.count("*").alias("rows"), F.min("place").alias("first_place"), F.max("place").alias("last_place"), F.max("bytes").alias("bytes"))
+    return held.select("shard", "path", "rows", "first_place", "last_place", "bytes")
+
+
+def write_shards(windows: DataFrame, path: str) -> DataFrame:
+    """save_shards, and the manifest, read back from the files."""
+    save_shards(windows, path)
+    return manifest_of(read_shards(windows.sparkSession, path, "shard long, place long"))

@@ -189,8 +189,9 @@ def training_shards(spark, d):
     chain = Chain([lambda df: df.select("user_id", "frame", "value"), Normalize({"value": 10.0})])
     windows = writing.shuffled_windows(frames(spark, d), segs(spark, d), "user_id", chain, ["value"], SIZE, STRIDE, rows_per_file=64)
     root = shared_folder(spark, "shards")
-    manifest = writing.write_shards(windows, root)
-    read = spark.read.parquet(root).drop("part").join(manifest.select("shard"), "shard", "left_semi")
+    writing.save_shards(windows, root)
+    rows = writing.read_shards(spark, root, windows.schema)
+    read = rows.join(writing.manifest_of(rows).select("shard"), "shard", "left_semi")
     return read.select("place", "shard", "user_id", "w_start", F.round(F.aggregate("matrix", F.lit(0.0), lambda a, r: a + r[0].cast("double")), 3).alias("total"))
 
 

@@ -143,6 +143,19 @@ def test_shards(spark, tmp_path):
     assert writing.write_shards(none, f"file://{tmp_path}/none").count() == 0
 
 
+def test_shards_are_written_by_few_tasks(spark, tmp_path):
+    windows = spark.range(300).selectExpr("(id * 7) % 300 AS place").selectExpr("place", "place DIV 5 AS shard", "array(place) AS matrix")
+    spark.sparkContext.setJobGroup("shards", "shards")
+    manifest = sorted(writing.write_shards(windows, f"file://{tmp_path}/w").collect())
+    spark.sparkContext.setJobGroup("", "")
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("shards") for s in tracker.getJobInfo(j).stageIds]
+    # 60 shards: only their listing, once, has as many tasks
+    assert sum(s.numTasks >= 60 for s in stages if s) == 1
+    assert [(m.shard, m.rows, m.first_place, m.last_place) for m in manifest] == [(k, 5, 5 * k, 5 * k + 4) for k in range(60)] and min(m.bytes for m in manifest) > 0
+    assert [[r.place for r in spark.read.parquet(m.path).collect()] for m in manifest[::20]] == [list(range(m.first_place, m.last_place + 1)) for m in manifest[::20]]
+
+
 def test_boundaries_are_recorded_with_their_frames(spark, tmp_path):
     from tellake.operators import segments
 
