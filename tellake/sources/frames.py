@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Iterator
+from itertools import chain
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +40,9 @@ def file_sizes(wanted: DataFrame, listing: DataFrame, key: str) -> DataFrame:
     return wanted.join(listing.select(F.col("stem").alias(key), F.col("length").alias("size")), key, "left").fillna(0, ["size"])
 
 
+#: values of decoded files that a task gathers before it hands them on; one file is never parted
+HELD_VALUES = 1 << 18
+KINDS = (pa.string(), pa.bool_(), pa.string(), pa.string(), pa.int64(), pa.int64())
 DECODED = "path string, ok boolean, error string, metadata string, num_frames long, num_features long, frame long, values array<double>"
 
 
@@ -50,45 +55,77 @@ def decode(files: DataFrame, decoder: Callable[[bytes], tuple[dict | None, objec
     rows of different lengths, or no frames or features (counts as far as they are known).
     """
 
-    def checked(array) -> tuple[str | None, int, int]:
+    def checked(array) -> tuple[str | None, int, int, object]:
+        """(error, frames, features, the array or its rows)"""
         if array is None:
-            return "Parsing returned None", 0, 0
+            return "Parsing returned None", 0, 0, None
         shape = getattr(array, "shape", None)
         if shape is None:
-            rows = list(array)
-            deep = [hasattr(r, "__len__") and not isinstance(r, (str, bytes)) for r in rows]
-            if not all(deep) or any(hasattr(v, "__len__") for r in rows for v in r):
-                return f"Expected 2D array, got {3 if deep and all(deep) else 1}D", len(rows), 0
-            if len({len(r) for r in rows}) > 1:
-                return "Rows of different lengths", len(rows), 0
-            shape = (len(rows), len(rows[0]) if rows else 0)
+            array = list(array)
+            widths = set(map(len, array)) if set(map(type, array)) <= {list, tuple} else None
+            if widths is None or not set(map(type, chain.from_iterable(array))) <= {float, int}:
+                deep = [hasattr(r, "__len__") and not isinstance(r, (str, bytes)) for r in array]
+                if not all(deep) or any(hasattr(v, "__len__") for r in array for v in r):
+                    return f"Expected 2D array, got {3 if deep and all(deep) else 1}D", len(array), 0, None
+                widths = {len(r) for r in array}
+            if len(widths) > 1:
+                return "Rows of different lengths", len(array), 0, None
+            shape = (len(array), min(widths, default=0))
         if len(shape) != 2:
-            return f"Expected 2D array, got {len(shape)}D", shape[0] if shape else 0, 0
-        return ("Array has zero frames or features" if 0 in shape else None), shape[0], shape[1]
+            return f"Expected 2D array, got {len(shape)}D", shape[0] if shape else 0, 0, None
+        return ("Array has zero frames or features" if 0 in shape else None), shape[0], shape[1], array
 
     def one(path: str, content: bytes | None) -> tuple[list, object]:
         if content is None:
             return [path, False, f"File not found: {path}", None, -1, -1], None
         try:
             metadata, array = decoder(content)
-            error, n, width = checked(array)
+            error, n, width, array = checked(array)
             told = None if metadata is None else json.dumps(metadata)
         except Exception as e:  # the decoder is the caller's; its errors are data here
             return [path, False, f"Parsing failed: {e}", None, -1, -1], None
         return [path, error is None, error, told, n, width], array if error is None else None
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [c.split()[0] for c in DECODED.split(", ")]
-        for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"]):
-                summary, array = one(path, content)
-                rows = [(*summary, None, None)]
-                if array is not None:
-                    rows += [(path, True, None, None, None, None, i, [float(v) for v in f]) for i, f in enumerate(array)]
-                out = pd.DataFrame(rows, columns=names).astype(object)
-                yield out.where(out.notna(), None)
-
-    return files.select("path", "content").mapInPandas(run, DECODED)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files: list[list] = []
+        sizes: list[int] = []
+        flat: list[np.ndarray] = []
+        held = 0
+
+        def flush() -> pa.RecordBatch:
+            """The held files: of each its summary, then its frames."""
+            n = np.array(sizes)
+            first = np.r_[0, np.cumsum(n[:-1] + 1)]
+            of = np.repeat(np.arange(len(n)), n + 1)
+            place = np.arange(len(of)) - first[of] - 1
+            frame = place >= 0
+            columns = [pa.array(list(c), kind) for c, kind in zip(zip(*files), KINDS)]
+            of_file, summary = pa.array(of), pa.array(of, mask=frame)
+            lengths = np.where(frame, np.array([f[5] for f in files])[of], 0)
+            values = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(lengths)].astype(np.int32), mask=np.r_[~frame, False]), pa.array(np.concatenate(flat)))
+            out = [columns[0].take(of_file), columns[1].take(of_file), *(c.take(summary) for c in columns[2:]), pa.array(place, mask=~frame), values]
+            return pa.record_batch(out, names=[c.split()[0] for c in DECODED.split(", ")])
+
+        for batch in batches:
+            for path, content in zip(batch.column(0), batch.column(1)):
+                summary, array = one(path.as_py(), content.as_py())
+                files.append(summary)
+                if array is None:
+                    sizes.append(0)
+                else:
+                    numeric = getattr(getattr(array, "dtype", None), "kind", "O") in "iufb"
+                    flat.append(np.asarray(array, np.float64).ravel() if numeric else np.fromiter(map(float, chain.from_iterable(array)), np.float64))
+                    sizes.append(summary[4])
+                held += 1 + (0 if array is None else summary[4] * summary[5])
+                if held >= HELD_VALUES:
+                    flat.append(np.zeros(0))
+                    yield flush()
+                    files, sizes, flat, held = [], [], [], 0
+        if files:
+            flat.append(np.zeros(0))
+            yield flush()
+
+    return files.select("path", "content").mapInArrow(run, DECODED)
 
 
 def ingest(spark: SparkSession, wanted: DataFrame, root: str, decoder: Callable[[bytes], tuple[dict | None, object]], key: str = "replay_id", stored_at: str = "storage_key") -> tuple[DataFrame, DataFrame]:

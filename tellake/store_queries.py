@@ -132,7 +132,7 @@ def decode_outcomes(spark, d):
         text = content.decode()
         if not text:
             raise ValueError("empty")
-        rows = [[float(len(line)), float(len(line.split(" ")))] for line in text.split("\n")]
+        rows = [[float(len(line)), float(line.count(" ") + 1)] for line in text.split("\n")]
         return {"lines": len(rows)}, rows if len(rows) > 1 else rows[0]
 
     files = t(spark, d, "documents").select(F.col("doc_id").cast("string").alias("path"), F.col("text").cast("binary").alias("content"))

@@ -101,3 +101,24 @@ def test_ingest_states_every_failure(spark, tmp_path):
     assert json.loads(outcomes.filter("replay_id = 'r6'").first().metadata) == {"kind": "no rows"}
     none, lost = frames.ingest(spark, wanted, "file:///no/such/folder", decoder)
     assert none.count() == 0 and {r.error for r in lost.collect()} == {f"File not found: r{k}" for k in range(9)} | {"File not found: gone"}
+
+
+def test_decoded_rows_of_any_iterable(spark):
+    import numpy as np
+
+    from tellake.sources import frames
+
+    def decoder(content):
+        shape = content.decode()
+        rows = {"list": [[1, 2.5], [float("nan"), True]], "lazy": ([float(i), -1.0] for i in range(3)), "array": np.arange(6, dtype=np.int16).reshape(2, 3), "flat": [1.0], "deep": [[[1.0]]], "uneven": [[1.0], [1.0, 2.0]], "none": [], "text": ["ab"]}
+        return {"of": shape}, rows[shape]
+
+    names = ["list", "lazy", "array", "flat", "deep", "uneven", "none", "text"]
+    files = spark.createDataFrame([(n, bytearray(n.encode())) for n in names] + [("gone", None)], "path string, content binary").repartition(3)
+    got = frames.decode(files, decoder).collect()
+    assert {r.path: (r.ok, r.error, r.num_frames, r.num_features) for r in got if r.frame is None} == {
+        "list": (True, None, 2, 2), "lazy": (True, None, 3, 2), "array": (True, None, 2, 3), "flat": (False, "Expected 2D array, got 1D", 1, 0), "deep": (False, "Expected 2D array, got 3D", 1, 0),
+        "uneven": (False, "Rows of different lengths", 2, 0), "none": (False, "Array has zero frames or features", 0, 0), "text": (False, "Expected 2D array, got 1D", 1, 0), "gone": (False, "File not found: gone", -1, -1)}
+    held = {(r.path, r.frame): str(r["values"]) for r in got if r.frame is not None}
+    assert held == {("list", 0): "[1.0, 2.5]", ("list", 1): "[nan, 1.0]", **{("lazy", i): f"[{i}.0, -1.0]" for i in range(3)}, ("array", 0): "[0.0, 1.0, 2.0]", ("array", 1): "[3.0, 4.0, 5.0]"}
+    assert all(r["values"] is None and r.metadata == f'{{"of": "{r.path}"}}' for r in got if r.frame is None and r.path != "gone")
